@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillsense.functions.exprs import epoch_seconds
 from tillsense.operators import cleaning as C
 from tillsense.operators.ranking import exact_median, mode_by
+from tillsense.sources.tables import materialize
 
 FEATURE_COLUMNS = [
     "invoiceno", "stockcode", "quantity", "invoicedate", "unitprice", "customerid", "country",
@@ -22,16 +23,21 @@ FEATURE_COLUMNS = [
 ]
 
 
-def monthly_product_sales(df: DataFrame) -> DataFrame:
+def monthly_product_sales(df: DataFrame, with_max_price: bool = False) -> DataFrame:
     """Per (stockcode, month): total quantity (all-NULL -> 0, trap K26)
-    and mean price; NULL keys dropped (trap K6)."""
+    and mean price; NULL keys dropped (trap K6). ``with_max_price`` also
+    keeps the month's max price so D2 can be derived without another pass
+    over the transactions."""
+    aggs = [
+        F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("prod_total_monthly_quantity"),
+        F.avg("unitprice").alias("prod_ave_monthly_price"),
+    ]
+    if with_max_price:
+        aggs.append(F.max("unitprice").alias("_month_max_price"))
     return (
         df.where(F.col("stockcode").isNotNull() & F.col("month").isNotNull())
         .groupBy("stockcode", "month")
-        .agg(
-            F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("prod_total_monthly_quantity"),
-            F.avg("unitprice").alias("prod_ave_monthly_price"),
-        )
+        .agg(*aggs)
     )
 
 
@@ -90,19 +96,15 @@ def join_product_imputation(df: DataFrame) -> DataFrame:
     """Country <- product mode; price <- product median <- global median."""
     mode = mode_by(df, ["stockcode"], "country", out="imputed_country")
     med = exact_median(df, "unitprice", ["stockcode"], out="imputed_unitprice")
-    gmed = global_median_price(df).withColumn("_one", F.lit(1))
-    out = (
-        df.join(mode, "stockcode", "left")
-        .join(med, "stockcode", "left")
-        .withColumn("_one", F.lit(1))
-        .join(F.broadcast(gmed), "_one", "left")  # exactly one row
-    )
+    # one value for the whole table: a scalar subquery, run once, no join
+    gmed = global_median_price(df).scalar()
+    out = df.join(mode, "stockcode", "left").join(med, "stockcode", "left")
     return out.withColumns(
         {
             "country": F.coalesce(F.col("country"), F.col("imputed_country"), F.lit("unknown")),
-            "unitprice": F.coalesce(F.col("unitprice"), F.col("imputed_unitprice"), F.col("global_median_price")),
+            "unitprice": F.coalesce(F.col("unitprice"), F.col("imputed_unitprice"), gmed),
         }
-    ).drop("imputed_country", "imputed_unitprice", "global_median_price", "_one")
+    ).drop("imputed_country", "imputed_unitprice")
 
 
 def phase1(raw: DataFrame) -> DataFrame:
@@ -112,26 +114,41 @@ def phase1(raw: DataFrame) -> DataFrame:
     df = C.drop_admin_codes_pre(df)
     df = C.prune_columns(df, ["description"])
     df = C.calendar_features(df)
-    lagged = last_month_quantity(monthly_product_sales(df))
+    monthly = monthly_product_sales(df, with_max_price=True)
+    lagged = last_month_quantity(monthly)
+    maxp = monthly.groupBy("stockcode").agg(F.max("_month_max_price").alias("product_max_price_all_time"))
     df = join_last_month_quantity(df, lagged)
-    df = join_max_price(df)
+    df = df.join(maxp, "stockcode", "left")
     df = C.price_ratio_features(df)
     df = C.price_shape_features(df)
     return C.registered_flag(df)
 
 
-def phase2(df: DataFrame) -> DataFrame:
+def phase2_rows(df: DataFrame) -> DataFrame:
+    """Rows of phase 2 before the product imputation (post codes dropped,
+    positive quantity, typed calendar columns, keys filled)."""
     df = C.drop_admin_codes_post(df)
     df = C.prune_columns(df, ["month_name"])
     df = C.positive_quantity(df)
     df = df.withColumns({"year_month": F.month("invoicedate"), "invoicedate": epoch_seconds("invoicedate")}).drop("month")
-    df = C.fill_unknown_keys(df)
+    return C.fill_unknown_keys(df)
+
+
+def phase2(df: DataFrame, stage: bool = True) -> DataFrame:
+    df = phase2_rows(df)
+    if stage:
+        # four branches (mode, product median, global median, rows) read this:
+        # write it once instead of re-running the source joins per branch
+        df = materialize(df, "features_pre_imputation")
     df = join_product_imputation(df)
     return C.log_target(df)
 
 
-def transactions_features(raw: DataFrame) -> DataFrame:
-    """The full feature table T2 (plus any lineage columns of ``raw``)."""
-    df = phase2(phase1(raw))
+def transactions_features(raw: DataFrame, stage: bool = True) -> DataFrame:
+    """The full feature table T2 (plus any lineage columns of ``raw``).
+
+    ``stage=False`` keeps the whole table one lazy plan (small inputs,
+    streaming micro-batches)."""
+    df = phase2(phase1(raw), stage)
     extra = [c for c in raw.columns if c not in FEATURE_COLUMNS and c not in ("description",)]
     return df.select(*FEATURE_COLUMNS, *extra)

@@ -77,13 +77,11 @@ def demand_model_by_product(features: DataFrame, y: str = "quantity", x: str = "
         F.regr_sxx(F.col(y), F.col(x)).alias("sxx"),
     ]
     per = features.groupBy("stockcode").agg(*fit)
-    glob = features.agg(*fit).select(
-        F.col("slope").alias("global_slope"), F.col("intercept").alias("global_intercept"), F.lit(1).alias("_one")
-    )
+    # the overall line is one value pair: a scalar subquery, no join
+    glob = features.agg(*fit).select(F.struct("slope", "intercept").alias("g")).scalar()
     usable = (F.col("n_obs") >= 2) & (F.col("sxx") > 0)
     return (
-        per.withColumn("_one", F.lit(1))
-        .join(F.broadcast(glob), "_one")  # one row
+        per.withColumns({"global_slope": glob.getField("slope"), "global_intercept": glob.getField("intercept")})
         .select(
             "stockcode",
             F.when(usable, F.col("slope")).alias("slope"),

@@ -28,15 +28,25 @@ def running_total(
     df: DataFrame,
     group_cols: Sequence[str],
     order_cols: Sequence,
-    out: str = "rn",
-    weight: str | None = None,
+    out: str | Sequence[str] = "rn",
+    weight: str | Sequence[str] | None = None,
     partitions: int | None = None,
+    total_out: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``weight`` (1 when None) inside each group,
-    in the given order (ROWS frame: unbounded preceding .. current row).
+    in the given order (ROWS frame: unbounded preceding .. current row), and
+    optionally ``total_out`` = the group's grand total.
 
-    With weight=None and a total order this is ``row_number()``.
+    With weight=None and a total order ``out`` is ``row_number()`` and
+    ``total_out`` is ``count(*)`` of the group. ``weight``/``out``/``total_out``
+    may be lists to carry several running sums through one range shuffle.
     """
+    if isinstance(weight, (list, tuple)):
+        weights = list(weight)
+        outs = list(out)
+        totals_out = list(total_out) if total_out else [None] * len(weights)
+    else:
+        weights, outs, totals_out = [weight], [out], [total_out]
     group_cols = list(group_cols)
     added_all = False
     if not group_cols:
@@ -44,35 +54,46 @@ def running_total(
         group_cols = [_ALL]
         added_all = True
     p = partitions or shuffle_partitions(df.sparkSession)
-    w = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    ws = {f"_w{j}": (F.lit(1).cast("bigint") if w is None else F.col(w)) for j, w in enumerate(weights)}
     order = _cols(order_cols)
     # explicit partition count: AQE must not coalesce, the partition id is a key
     keyed = (
-        df.withColumn("_w", w)
+        df.withColumns(ws)
         .repartitionByRange(p, *[F.col(g) for g in group_cols], *order)
         .withColumn("_pid", F.spark_partition_id())
     )
+    # The rows branch and the totals branch must see the same partitioning.
+    # Column pruning gives each branch its own range exchange, i.e. its own
+    # sampled bounds, which can differ when the input order is not fixed
+    # (shuffle reads, AQE coalescing). A reliable checkpoint (shared
+    # checkpoint folder, survives executor loss) fixes ``_pid`` once.
+    keyed = keyed.checkpoint(eager=True)
     local_w = (
         Window.partitionBy("_pid", *group_cols)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = keyed.withColumn("_local", F.sum("_w").over(local_w))
-    totals = keyed.groupBy("_pid", *group_cols).agg(F.sum("_w").alias("_ptot"))
+    local = keyed.withColumns({f"_local{j}": F.sum(f"_w{j}").over(local_w) for j in range(len(weights))})
+    totals = keyed.groupBy("_pid", *group_cols).agg(*[F.sum(f"_w{j}").alias(f"_ptot{j}") for j in range(len(weights))])
+    # at most ``p`` rows per group here, so this window is never skewed
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group_cols)
     offsets = totals.select(
         F.col("_pid").alias("_opid"),
         *[F.col(g).alias(f"_og{i}") for i, g in enumerate(group_cols)],
-        F.coalesce(F.sum("_ptot").over(before), F.lit(0)).alias("_off"),
+        *[F.coalesce(F.sum(f"_ptot{j}").over(before), F.lit(0)).alias(f"_off{j}") for j in range(len(weights))],
+        *[F.sum(f"_ptot{j}").over(whole).alias(f"_gtot{j}") for j in range(len(weights))],
     )
     cond = F.col("_pid") == F.col("_opid")
     for i, g in enumerate(group_cols):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_og{i}"))
-    res = (
-        local.join(offsets, cond, "inner")
-        .withColumn(out, F.col("_off") + F.col("_local"))
-        .drop("_w", "_pid", "_local", "_opid", "_off", *[f"_og{i}" for i in range(len(group_cols))])
-    )
+    res = local.join(offsets, cond, "inner")
+    res = res.withColumns({o: F.col(f"_off{j}") + F.col(f"_local{j}") for j, o in enumerate(outs)})
+    for j, t in enumerate(totals_out):
+        if t:
+            res = res.withColumnRenamed(f"_gtot{j}", t)
+    helper = ["_pid", "_opid"] + [f"{h}{j}" for j in range(len(weights)) for h in ("_w", "_local", "_off", "_gtot")]
+    res = res.drop(*helper, *[f"_og{i}" for i in range(len(group_cols))])
     if added_all:
         res = res.drop(_ALL)
     return res
@@ -85,33 +106,22 @@ def exact_median(
     out: str = "median",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Exact (interpolated) median per group: mean of the two middle values,
-    computed as lo + 0.5*(hi-lo). NULL and NaN are skipped; a group whose
-    values are all missing gets no row (callers left-join and get NULL).
+    """Exact (interpolated) median per group: the two middle values a <= b
+    give a + 0.5*(b-a). NULL and NaN are skipped; a group whose values are
+    all missing gets no row (callers left-join and get NULL).
 
     Skew-safe and memory-bounded: no group is buffered in one task.
     """
     group_cols = list(group_cols)
-    key_cols = group_cols or [_ALL]
     v = df.select(*[F.col(g) for g in group_cols], F.col(value_col).cast("double").alias("_v"))
-    if not group_cols:
-        v = v.withColumn(_ALL, F.lit(0))
     v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = running_total(v, key_cols, [F.col("_v")], out="_rn", partitions=partitions)
-    counts = v.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(*[F.col(g).alias(f"_c_{g}") for g in key_cols], "_n")
-    cond = None
-    for g in key_cols:
-        e = F.col(g).eqNullSafe(F.col(f"_c_{g}"))
-        cond = e if cond is None else cond & e
+    ranked = running_total(v, group_cols, [F.col("_v")], out="_rn", partitions=partitions, total_out="_n")
     lo_rank = F.floor((F.col("_n") + 1) / 2)
     hi_rank = F.ceil((F.col("_n") + 1) / 2)
-    picked = ranked.join(counts, cond, "inner").where((F.col("_rn") == lo_rank) | (F.col("_rn") == hi_rank))
-    res = picked.groupBy(*key_cols).agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
-    res = res.select(*key_cols, (F.col("_a") + F.lit(0.5) * (F.col("_b") - F.col("_a"))).alias(out))
-    if not group_cols:
-        res = res.drop(_ALL)
-    return res
+    picked = ranked.where((F.col("_rn") == lo_rank) | (F.col("_rn") == hi_rank))
+    agg = [F.min("_v").alias("_a"), F.max("_v").alias("_b")]
+    res = picked.groupBy(*group_cols).agg(*agg) if group_cols else picked.agg(*agg)
+    return res.select(*group_cols, (F.col("_a") + F.lit(0.5) * (F.col("_b") - F.col("_a"))).alias(out))
 
 
 def mode_by(df: DataFrame, group_cols: Sequence[str], value_col: str, out: str = "mode") -> DataFrame:

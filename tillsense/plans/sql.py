@@ -116,6 +116,14 @@ features AS (
 )"""
 
 FEATURES = RETAIL + "," + PHASE1 + "," + PHASE2
+# the stages up to a given CTE
+PHASE1_ONLY = RETAIL + "," + PHASE1
+PHASE2_ROWS = RETAIL + "," + PHASE1 + "," + PHASE2[: PHASE2.index("country_counts AS")].rstrip().rstrip(",")
+
+
+def features_from(source_cte: str) -> str:
+    """FEATURES computed from another raw CTE named ``source_cte``."""
+    return PHASE1.replace("FROM retail", f"FROM {source_cte}") + "," + PHASE2
 
 FEATURE_DOUBLES = [
     "quantity", "invoicedate", "unitprice", "product_avg_quantity_last_month",
