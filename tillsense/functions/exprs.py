@@ -88,16 +88,23 @@ def nan_to_null(c) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
-def round6(c) -> Column:
-    """Round to 6 decimals as floor(x*1e6 + 0.5)/1e6.
+# (upper bound of |x|, scale): about nine significant digits, six decimals at most
+ROUND_LADDER = [(1e3, 1e6), (1e6, 1e3), (1e9, 1.0), (1e12, 1e-3)]
+
 
-    Only IEEE basic operations, so every engine gives the same bits for the
-    same input (``round`` differs between engines on near-ties). Non-finite
-    and very large values are left as they are.
+def round6(c) -> Column:
+    """Round for cross-engine comparison: floor(x*s + 0.5)/s with s = 1e6 for
+    |x| < 1e3, 1e3 below 1e6, 1 below 1e9, 1e-3 below 1e12 (about nine
+    significant digits, so order-dependent sums agree). Only IEEE basic
+    operations, so every engine gives the same bits for the same input.
+    Non-finite and larger values are left as they are.
     """
     c = col_or_name(c)
-    keep = c.isNull() | is_nonfinite(c) | (F.abs(c) >= F.lit(1e12))
-    return F.when(keep, c).otherwise(F.floor(c * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6))
+    out = c
+    for bound, scale in reversed(ROUND_LADDER):
+        r = F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+        out = F.when(F.abs(c) < F.lit(bound), r).otherwise(out)
+    return F.when(c.isNull() | is_nonfinite(c), c).otherwise(out)
 
 
 def demand_units(log_pred) -> Column:

@@ -32,10 +32,9 @@ class DriftDetected(RuntimeError):
 
 
 def _long(df: DataFrame, group: Sequence[str], cols: Sequence[str], cast: str) -> DataFrame:
-    return (
-        df.select(*group, *[F.col(c).cast(cast).alias(c) for c in cols])
-        .unpivot(list(group), list(cols), "column_name", "value")
-    )
+    """(group..., column_name, value) rows; a column may also be a group key."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(cast).alias("value")) for c in cols])
+    return df.select(*group, F.explode(pairs).alias("_p")).select(*group, "_p.column_name", "_p.value")
 
 
 def _numeric_counts(reference: DataFrame, current: DataFrame, group: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -142,9 +141,9 @@ def drift_columns(reference: DataFrame, current: DataFrame, num_cols: Sequence[s
     group = list(group)
     parts = []
     if num_cols:
-        ks = drift_numeric_ks(reference, current, num_cols, group).select(*group, "column_name", "ks_stat", "ks_drift", "n_ref")
+        ks = drift_numeric_ks(reference, current, num_cols, group).select(*group, "column_name", "ks_stat", "ks_drift", "n_ref", "n_cur")
         w = drift_numeric_wasserstein(reference, current, num_cols, group).select(*group, "column_name", "w1_norm", "w1_drift")
-        num = ks.join(w, [*group, "column_name"], "full")
+        num = ks.join(w, [*group, "column_name"], "inner").where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
         use_ks = F.col("n_ref") <= KS_MAX_ROWS
         parts.append(
             num.select(

@@ -62,6 +62,13 @@ def price_grid(bounds: DataFrame, num_price_bins: int = DEFAULT_PRICE_BINS) -> D
     return g.select("stockcode", "bin", linspace_point("price_lo", "price_hi", F.col("bin"), n).alias("unit_price"))
 
 
+def global_line(features: DataFrame, y: str = "quantity", x: str = "unitprice_log"):
+    """The overall log-log line as one scalar-subquery struct (slope, intercept)."""
+    return features.agg(
+        F.struct(F.regr_slope(F.col(y), F.col(x)).alias("slope"), F.regr_intercept(F.col(y), F.col(x)).alias("intercept")).alias("g")
+    ).scalar()
+
+
 def demand_model_by_product(features: DataFrame, y: str = "quantity", x: str = "unitprice_log") -> DataFrame:
     """Log-log demand line per product, log1p(q) = a + b*log1p(p), fitted
     with regression aggregates (one pass, partial aggregation), plus the

@@ -42,6 +42,6 @@ def round_doubles(df: DataFrame) -> DataFrame:
 
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # importing the modules fills the registry
-    from tillsense.plans import q_core, q_quality, q_models  # noqa: F401
+    from tillsense.plans import q_core, q_io, q_models, q_quality, q_stream  # noqa: F401
 
     return QUERIES

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 
 def q6(expr: str) -> str:
-    """SQL twin of ``round6``: floor(x*1e6 + 0.5)/1e6 for finite |x| < 1e12."""
-    return (
-        f"(CASE WHEN ({expr}) IS NULL OR isnan({expr}) OR isinf({expr}) OR abs({expr}) >= 1e12 THEN ({expr}) "
-        f"ELSE floor(({expr}) * 1e6 + 0.5) / 1e6 END)"
-    )
+    """SQL twin of ``round6`` (same ladder of scales)."""
+    ladder = [(1e3, "1e6"), (1e6, "1e3"), (1e9, "1.0"), (1e12, "1e-3")]
+    whens = " ".join(f"WHEN abs({expr}) < {bound:.0f} THEN floor(({expr}) * {s} + 0.5) / {s}" for bound, s in ladder)
+    return f"(CASE WHEN ({expr}) IS NULL OR isnan({expr}) OR isinf({expr}) THEN ({expr}) {whens} ELSE ({expr}) END)"
+
 
 ORDER_KEYS_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 # total row order (K7): time, invoice, then the lineage keys
