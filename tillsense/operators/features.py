@@ -92,12 +92,15 @@ def global_median_price(df: DataFrame) -> DataFrame:
     return exact_median(df, "unitprice", [], out="global_median_price")
 
 
-def join_product_imputation(df: DataFrame) -> DataFrame:
-    """Country <- product mode; price <- product median <- global median."""
+def join_product_imputation(df: DataFrame, global_median=None) -> DataFrame:
+    """Country <- product mode; price <- product median <- global median.
+
+    ``global_median`` overrides the table's own median (a refresh of some
+    products passes the median of all rows)."""
     mode = mode_by(df, ["stockcode"], "country", out="imputed_country")
     med = exact_median(df, "unitprice", ["stockcode"], out="imputed_unitprice")
     # one value for the whole table: a scalar subquery, run once, no join
-    gmed = global_median_price(df).scalar()
+    gmed = global_median_price(df).scalar() if global_median is None else global_median
     out = df.join(mode, "stockcode", "left").join(med, "stockcode", "left")
     return out.withColumns(
         {
@@ -134,21 +137,28 @@ def phase2_rows(df: DataFrame) -> DataFrame:
     return C.fill_unknown_keys(df)
 
 
-def phase2(df: DataFrame, stage: bool = True) -> DataFrame:
+def phase2(df: DataFrame, stage: bool = True, global_median=None) -> DataFrame:
     df = phase2_rows(df)
     if stage:
         # four branches (mode, product median, global median, rows) read this:
         # write it once instead of re-running the source joins per branch
         df = materialize(df, "features_pre_imputation")
-    df = join_product_imputation(df)
+    df = join_product_imputation(df, global_median)
     return C.log_target(df)
 
 
-def transactions_features(raw: DataFrame, stage: bool = True) -> DataFrame:
+def imputation_rows_price(raw: DataFrame) -> DataFrame:
+    """Prices of the raw rows that survive to the imputation step (codes and
+    quantity filters only: phase 1 does not change prices)."""
+    df = C.drop_admin_codes_post(C.drop_admin_codes_pre(C.canonical_stockcode(raw)))
+    return C.positive_quantity(df).select("unitprice")
+
+
+def transactions_features(raw: DataFrame, stage: bool = True, global_median=None) -> DataFrame:
     """The full feature table T2 (plus any lineage columns of ``raw``).
 
     ``stage=False`` keeps the whole table one lazy plan (small inputs,
     streaming micro-batches)."""
-    df = phase2(phase1(raw), stage)
+    df = phase2(phase1(raw), stage, global_median)
     extra = [c for c in raw.columns if c not in FEATURE_COLUMNS and c not in ("description",)]
     return df.select(*FEATURE_COLUMNS, *extra)

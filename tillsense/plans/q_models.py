@@ -1 +1,108 @@
-"""Registered plans: pyspark.ml model fitting and scoring (rows-only checks)."""
+"""Registered plans: pyspark.ml model fitting and scoring (rows-only checks:
+fitted models are not expressible in SQL)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillsense.operators import encoding as EN
+from tillsense.operators import models as MD
+from tillsense.plans.catalog import register
+from tillsense.plans.q_quality import CAT_COLS, NUM_COLS, split_global
+from tillsense.sources.tables import materialize, table_path
+
+_ML_CACHE: dict = {}
+
+
+def ml_frame(spark, sf_dir):
+    """Encoded matrix of every row with its split, written once per session
+    and data folder (the reference likewise stores its processed matrices)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ML_CACHE:
+        s = split_global(spark, sf_dir).withColumn("row_id", F.col("row_id").cast("bigint"))
+        m = EN.fit_column_transform(s.where(F.col("split") == "train"), NUM_COLS, CAT_COLS, order_col="row_id")
+        mat = EN.transform(s, m, keep=["row_id", "split", "quantity", "is_registered"])
+        mat = mat.withColumn("is_val", F.col("split") == "val")
+        _ML_CACHE[key] = (materialize(mat, "ml_matrix"), m.output_columns())
+    return _ML_CACHE[key]
+
+
+def _parts(spark, sf_dir):
+    mat, cols = ml_frame(spark, sf_dir)
+    return mat, cols, mat.where(F.col("split") == "train"), mat.where(F.col("split") == "val"), mat.where(F.col("split") == "test")
+
+
+def _scored(model, test):
+    return model.transform(test).select("row_id", F.col("quantity").alias("y_true"), "y_pred")
+
+
+@register("demand_model_elastic_net")
+def q_demand_model_elastic_net(spark, sf_dir):
+    _, cols, train, _, test = _parts(spark, sf_dir)
+    return _scored(MD.pipeline(cols, MD.elastic_net(0.01, 0.5)).fit(train), test)
+
+
+@register("demand_model_boosted_trees")
+def q_demand_model_boosted_trees(spark, sf_dir):
+    mat, cols, _, _, test = _parts(spark, sf_dir)
+    tv = mat.where(F.col("split").isin("train", "val"))
+    est = MD.boosted_trees(step=0.05, max_depth=MD.depth_for_leaves(31), subsample=0.8, colsample="0.8", max_iter=30)
+    return _scored(MD.pipeline(cols, est).fit(tv), test)
+
+
+@register("kfold_validation")
+def q_kfold_validation(spark, sf_dir):
+    _, cols, train, _, _ = _parts(spark, sf_dir)
+    _, rows = MD.kfold_validation(MD.assembler(cols).transform(train), MD.elastic_net(0.01, 0.5))
+    return rows
+
+
+@register("grid_search")
+def q_grid_search(spark, sf_dir):
+    _, cols, train, _, _ = _parts(spark, sf_dir)
+    est = MD.elastic_net()
+    _, rows = MD.grid_search(MD.assembler(cols).transform(train), est, MD.elastic_net_grid(est))
+    return rows
+
+
+@register("random_search")
+def q_random_search(spark, sf_dir):
+    _, cols, train, _, _ = _parts(spark, sf_dir)
+    est = MD.elastic_net()
+    _, rows = MD.kfold_validation(MD.assembler(cols).transform(train), est, MD.random_param_maps(est, n=10))
+    return rows
+
+
+def _best_refit(spark, sf_dir):
+    mat, cols, train, val, test = _parts(spark, sf_dir)
+    tv = mat.where(F.col("split").isin("train", "val"))
+    candidates = {
+        "elastic_net": MD.pipeline(cols, MD.elastic_net(0.01, 0.5)),
+        "boosted_trees": MD.pipeline(cols, MD.boosted_trees(max_iter=30, validation_col=None)),
+    }
+    best, scores, model = MD.select_best_refit(candidates, train, val, tv)
+    return best, scores, model, test
+
+
+@register("select_best_refit")
+def q_select_best_refit(spark, sf_dir):
+    best, scores, model, test = _best_refit(spark, sf_dir)
+    return _scored(model, test).withColumn("model_name", F.lit(best))
+
+
+@register("batch_inference")
+def q_batch_inference(spark, sf_dir):
+    from pyspark.ml import PipelineModel
+
+    _, _, model, test = _best_refit(spark, sf_dir)
+    path = MD.save_pipeline(model, table_path(test, "demand_model"))
+    return MD.batch_inference(PipelineModel.load(path), test, ["row_id"])
+
+
+@register("warm_refresh")
+def q_warm_refresh(spark, sf_dir):
+    mat, cols, train, _, test = _parts(spark, sf_dir)
+    first = MD.pipeline(cols, MD.elastic_net(0.01, 0.5)).fit(train)
+    path = MD.save_pipeline(first, table_path(train, "demand_model"))
+    refreshed = MD.warm_refresh(path, mat.where(F.col("split").isin("train", "val")))
+    return _scored(refreshed, test)
