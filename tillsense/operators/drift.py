@@ -63,11 +63,11 @@ def _cdf(reference: DataFrame, current: DataFrame, group: Sequence[str], cols: S
     )
 
 
-def drift_numeric_ks(reference: DataFrame, current: DataFrame, num_cols: Sequence[str], group: Sequence[str] = ("stockcode",)) -> DataFrame:
+def drift_numeric_ks(reference: DataFrame, current: DataFrame, num_cols: Sequence[str], group: Sequence[str] = ("stockcode",), cdf: DataFrame | None = None) -> DataFrame:
     """L1: two-sample KS statistic per (group, column) with the asymptotic
     critical value at alpha = 0.05."""
     group = list(group)
-    cdf = _cdf(reference, current, group, num_cols)
+    cdf = cdf if cdf is not None else _cdf(reference, current, group, num_cols)
     ks = cdf.groupBy(*group, "column_name").agg(
         F.max(F.abs(F.col("F_ref") - F.col("F_cur"))).alias("ks_stat"),
         F.max("n_ref").alias("n_ref"),
@@ -77,14 +77,14 @@ def drift_numeric_ks(reference: DataFrame, current: DataFrame, num_cols: Sequenc
     return ks.withColumn("ks_drift", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.col("ks_stat") > crit))
 
 
-def drift_numeric_wasserstein(reference: DataFrame, current: DataFrame, num_cols: Sequence[str], group: Sequence[str] = ("stockcode",)) -> DataFrame:
+def drift_numeric_wasserstein(reference: DataFrame, current: DataFrame, num_cols: Sequence[str], group: Sequence[str] = ("stockcode",), cdf: DataFrame | None = None) -> DataFrame:
     """L2: W1 = sum |F_ref - F_cur| * (next value - value), divided by
     max(population std of the reference, 0.001); drift when >= 0.1.
 
     The next value comes from a join on (group, column, rank + 1), so no
     ordered window ever holds a whole group."""
     group = list(group)
-    cdf = _cdf(reference, current, group, num_cols)
+    cdf = cdf if cdf is not None else _cdf(reference, current, group, num_cols)
     nxt = cdf.select(*group, "column_name", (F.col("rank") - 1).alias("rank"), F.col("value").alias("next_value"))
     steps = cdf.join(nxt, [*group, "column_name", "rank"], "left")
     w1 = steps.groupBy(*group, "column_name").agg(
@@ -141,8 +141,9 @@ def drift_columns(reference: DataFrame, current: DataFrame, num_cols: Sequence[s
     group = list(group)
     parts = []
     if num_cols:
-        ks = drift_numeric_ks(reference, current, num_cols, group).select(*group, "column_name", "ks_stat", "ks_drift", "n_ref", "n_cur")
-        w = drift_numeric_wasserstein(reference, current, num_cols, group).select(*group, "column_name", "w1_norm", "w1_drift")
+        cdf = _cdf(reference, current, group, num_cols)  # one CDF table for both tests
+        ks = drift_numeric_ks(reference, current, num_cols, group, cdf).select(*group, "column_name", "ks_stat", "ks_drift", "n_ref", "n_cur")
+        w = drift_numeric_wasserstein(reference, current, num_cols, group, cdf).select(*group, "column_name", "w1_norm", "w1_drift")
         num = ks.join(w, [*group, "column_name"], "inner").where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
         use_ks = F.col("n_ref") <= KS_MAX_ROWS
         parts.append(

@@ -39,10 +39,17 @@ def features_of(spark, sf_dir):
     return FE.transactions_features(retail_transactions(spark, sf_dir))
 
 
+_STORED: dict = {}
+
+
 def stored_features(spark, sf_dir):
-    """T2 written once under the checkpoint folder and read back (the
-    reference likewise stores its processed table between stages)."""
-    return materialize(features_of(spark, sf_dir), "features")
+    """T2 written once per session and data folder under the checkpoint
+    folder and read back by every downstream plan (the reference likewise
+    stores its processed table and each stage reads it)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = materialize(features_of(spark, sf_dir), "features")
+    return _STORED[key]
 
 
 def phase1_of(spark, sf_dir):

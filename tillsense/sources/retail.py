@@ -87,8 +87,11 @@ def retail_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # lineitem x orders is a fact-to-fact join: at scale neither side fits a
+    # broadcast, so the plan says so (shuffle on the order key, hash build on
+    # the smaller orders side) instead of depending on a size estimate
     j = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
+        li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
         .join(c, o.o_custkey == c.c_custkey)
         .join(n, c.c_nationkey == n.n_nationkey)
     )
