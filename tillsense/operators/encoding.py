@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.operators.ranking import exact_median, running_total
+from tillsense.sources.tables import materialize
 
 
 @dataclass
@@ -101,7 +102,7 @@ def fit_column_transform(
     if cat_cols:
         ords = fit_ordinals(train, cat_cols, order_col)
         # materialise once: reused by every category join of the transform
-        m.ordinals = ords.checkpoint(eager=True)
+        m.ordinals = materialize(ords, "category_ordinals")
         counts = {r["column_name"]: r["n"] for r in m.ordinals.groupBy("column_name").agg(F.max("n_categories").alias("n")).collect()}
         m.digits = {c: n_digits(counts.get(c, 0)) for c in cat_cols}
     return m

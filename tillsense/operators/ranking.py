@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsense.session import shuffle_partitions
+from tillsense.sources.tables import materialize
 
 _ALL = "_grp_all"
 
@@ -65,9 +66,10 @@ def running_total(
     # The rows branch and the totals branch must see the same partitioning.
     # Column pruning gives each branch its own range exchange, i.e. its own
     # sampled bounds, which can differ when the input order is not fixed
-    # (shuffle reads, AQE coalescing). A reliable checkpoint (shared
-    # checkpoint folder, survives executor loss) fixes ``_pid`` once.
-    keyed = keyed.checkpoint(eager=True)
+    # (shuffle reads, AQE coalescing). Writing the keyed rows once (Parquet
+    # in the shared checkpoint folder: survives executor loss) fixes
+    # ``_pid``; the totals branch then reads only _pid, group and weights.
+    keyed = materialize(keyed, "ranked_input")
     local_w = (
         Window.partitionBy("_pid", *group_cols)
         .orderBy(*order)
