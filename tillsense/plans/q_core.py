@@ -304,7 +304,8 @@ def q_split_features_target(spark, sf_dir):
 
 @register("transactions_features", sel(FEATURES, FEATURE_OUT, "features", FEATURE_DOUBLES))
 def q_transactions_features(spark, sf_dir):
-    return round_doubles(features_of(spark, sf_dir))
+    """B17, built and stored once per session; later plans read the stored table."""
+    return round_doubles(stored_features(spark, sf_dir))
 
 
 # ================================================================ C: joins
