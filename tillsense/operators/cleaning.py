@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsense.functions.exprs import (
-    epoch_seconds,
     missing_to_null,
     month_start,
     not_in_keep_null,

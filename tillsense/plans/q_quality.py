@@ -5,19 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillsense.operators import cleaning as C
 from tillsense.operators import drift as DR
 from tillsense.operators import encoding as EN
 from tillsense.operators import quality as QU
 from tillsense.operators import splits as SP
 from tillsense.plans.catalog import register, round_doubles
-from tillsense.plans.q_core import OK, RAW_COLS, stored_features
-from tillsense.plans.sql import FEATURES, RETAIL, TOTAL_ORDER_SQL, q6, round_cols, with_ctes
+from tillsense.plans.q_core import OK, stored_features
+from tillsense.plans.sql import FEATURES, RETAIL, TOTAL_ORDER_SQL, q6, with_ctes
 from tillsense.sources.retail import ORDER_KEYS, retail_transactions
 
 TEST_FRACTION = 0.1  # global split: 10 % test, then 10 % of the rest for validation
 DRIFT_CUTOFF = 899251200.0  # 1998-07-01 00:00:00 UTC: reference rows before, current rows after
-NUM = C.column_roles  # alias for readability below
 
 NUM_COLS = [
     "invoicedate", "unitprice", "product_avg_quantity_last_month", "product_max_price_all_time",
