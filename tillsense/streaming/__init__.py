@@ -1,3 +1,3 @@
-from tillsense.streaming.refresh import incremental_refresh, latest_version
+from tillsense.streaming.refresh import bootstrap, incremental_refresh, refresh_batch
 
-__all__ = ["incremental_refresh", "latest_version"]
+__all__ = ["bootstrap", "incremental_refresh", "refresh_batch"]
