@@ -53,3 +53,10 @@ def test_mode_and_last(spark):
     df = spark.createDataFrame([("k", "x", 1), ("k", "y", 2), ("k", "y", 3), ("k", "x", 4), ("j", None, 1)], "k string, c string, t int")
     assert {r.k: r.m for r in mode_by(df, ["k"], "c", out="m").collect()} == {"k": "x"}
     assert {r.k: r.c for r in last_by(df, ["k"], ["c"], ["t"]).collect()} == {"k": "x", "j": None}
+
+
+def test_next_value_across_partitions(spark):
+    pdf, df = _fixture(spark)
+    got = running_total(df, ["k"], [F.col("t")], out="rn", partitions=7, next_of="t").toPandas().sort_values("t")
+    exp = pdf.sort_values("t").groupby("k")["t"].shift(-1)
+    assert got["next_t"].fillna(-1).to_numpy().tolist() == exp.fillna(-1).to_numpy().tolist()

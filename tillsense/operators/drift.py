@@ -55,6 +55,7 @@ def _cdf(reference: DataFrame, current: DataFrame, group: Sequence[str], cols: S
         out=["cum_ref", "cum_cur", "rank"],
         weight=["c_ref", "c_cur", "one"],
         total_out=["n_ref", "n_cur", "n_values"],
+        next_of="value",
     ).withColumns(
         {
             "F_ref": F.try_divide(F.col("cum_ref"), F.col("n_ref")),
@@ -81,13 +82,11 @@ def drift_numeric_wasserstein(reference: DataFrame, current: DataFrame, num_cols
     """L2: W1 = sum |F_ref - F_cur| * (next value - value), divided by
     max(population std of the reference, 0.001); drift when >= 0.1.
 
-    The next value comes from a join on (group, column, rank + 1), so no
-    ordered window ever holds a whole group."""
+    The next distinct value comes with the CDF (``running_total(next_of=)``),
+    so no ordered window ever holds a whole group and no self-join is needed."""
     group = list(group)
     cdf = cdf if cdf is not None else _cdf(reference, current, group, num_cols)
-    nxt = cdf.select(*group, "column_name", (F.col("rank") - 1).alias("rank"), F.col("value").alias("next_value"))
-    steps = cdf.join(nxt, [*group, "column_name", "rank"], "left")
-    w1 = steps.groupBy(*group, "column_name").agg(
+    w1 = cdf.groupBy(*group, "column_name").agg(
         F.coalesce(F.sum(F.abs(F.col("F_ref") - F.col("F_cur")) * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("w1"),
         F.max("n_ref").alias("n_ref"),
         F.max("n_cur").alias("n_cur"),

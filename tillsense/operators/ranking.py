@@ -33,6 +33,7 @@ def running_total(
     weight: str | Sequence[str] | None = None,
     partitions: int | None = None,
     total_out: str | Sequence[str] | None = None,
+    next_of: str | None = None,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``weight`` (1 when None) inside each group,
     in the given order (ROWS frame: unbounded preceding .. current row), and
@@ -41,6 +42,8 @@ def running_total(
     With weight=None and a total order ``out`` is ``row_number()`` and
     ``total_out`` is ``count(*)`` of the group. ``weight``/``out``/``total_out``
     may be lists to carry several running sums through one range shuffle.
+    ``next_of`` adds ``next_<col>``: the column's value on the next row of the
+    group in this order (NULL on the last row) -- ``lead`` across partitions.
     """
     if isinstance(weight, (list, tuple)):
         weights = list(weight)
@@ -76,7 +79,12 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = keyed.withColumns({f"_local{j}": F.sum(f"_w{j}").over(local_w) for j in range(len(weights))})
-    totals = keyed.groupBy("_pid", *group_cols).agg(*[F.sum(f"_w{j}").alias(f"_ptot{j}") for j in range(len(weights))])
+    part_aggs = [F.sum(f"_w{j}").alias(f"_ptot{j}") for j in range(len(weights))]
+    if next_of:
+        lead_w = Window.partitionBy("_pid", *group_cols).orderBy(*order)
+        local = local.withColumn("_lead_local", F.lead(next_of, 1).over(lead_w))
+        part_aggs.append(F.min_by(F.col(next_of), F.struct(*order)).alias("_pfirst"))
+    totals = keyed.groupBy("_pid", *group_cols).agg(*part_aggs)
     # at most ``p`` rows per group here, so this window is never skewed
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group_cols)
@@ -85,12 +93,17 @@ def running_total(
         *[F.col(g).alias(f"_og{i}") for i, g in enumerate(group_cols)],
         *[F.coalesce(F.sum(f"_ptot{j}").over(before), F.lit(0)).alias(f"_off{j}") for j in range(len(weights))],
         *[F.sum(f"_ptot{j}").over(whole).alias(f"_gtot{j}") for j in range(len(weights))],
+        *([F.lead("_pfirst", 1).over(Window.partitionBy(*group_cols).orderBy("_pid")).alias("_next_part_first")] if next_of else []),
     )
     cond = F.col("_pid") == F.col("_opid")
     for i, g in enumerate(group_cols):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_og{i}"))
     res = local.join(offsets, cond, "inner")
     res = res.withColumns({o: F.col(f"_off{j}") + F.col(f"_local{j}") for j, o in enumerate(outs)})
+    if next_of:
+        res = res.withColumn(f"next_{next_of}", F.coalesce(F.col("_lead_local"), F.col("_next_part_first"))).drop(
+            "_lead_local", "_next_part_first"
+        )
     for j, t in enumerate(totals_out):
         if t:
             res = res.withColumnRenamed(f"_gtot{j}", t)
