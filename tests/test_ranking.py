@@ -60,3 +60,10 @@ def test_next_value_across_partitions(spark):
     got = running_total(df, ["k"], [F.col("t")], out="rn", partitions=7, next_of="t").toPandas().sort_values("t")
     exp = pdf.sort_values("t").groupby("k")["t"].shift(-1)
     assert got["next_t"].fillna(-1).to_numpy().tolist() == exp.fillna(-1).to_numpy().tolist()
+
+
+def test_exact_median_with_repeated_values(spark):
+    rows = [("a", 1.0)] * 5 + [("a", 2.0)] * 5 + [("b", 3.0)] * 4 + [("b", 7.0)] + [("c", 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.median for r in exact_median(df, "v", ["k"], partitions=3).collect()}
+    assert got == {"a": 1.5, "b": 3.0, "c": 4.0}

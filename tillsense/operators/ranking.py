@@ -125,15 +125,24 @@ def exact_median(
     give a + 0.5*(b-a). NULL and NaN are skipped; a group whose values are
     all missing gets no row (callers left-join and get NULL).
 
-    Skew-safe and memory-bounded: no group is buffered in one task.
+    Values are first reduced to (value, count) pairs -- combined map-side,
+    so repeated values (prices repeat a lot) never cross the shuffle one by
+    one -- then ranked with count weights. Skew-safe and memory-bounded: no
+    group is buffered in one task.
     """
     group_cols = list(group_cols)
     v = df.select(*[F.col(g) for g in group_cols], F.col(value_col).cast("double").alias("_v"))
     v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = running_total(v, group_cols, [F.col("_v")], out="_rn", partitions=partitions, total_out="_n")
+    counts = v.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_total(counts, group_cols, [F.col("_v")], out="_cum", weight="_c", partitions=partitions, total_out="_n")
     lo_rank = F.floor((F.col("_n") + 1) / 2)
     hi_rank = F.ceil((F.col("_n") + 1) / 2)
-    picked = ranked.where((F.col("_rn") == lo_rank) | (F.col("_rn") == hi_rank))
+    first = F.col("_cum") - F.col("_c")  # ranks first+1 .. _cum hold this value
+
+    def covers(r):
+        return (first < r) & (r <= F.col("_cum"))
+
+    picked = ranked.where(covers(lo_rank) | covers(hi_rank))
     agg = [F.min("_v").alias("_a"), F.max("_v").alias("_b")]
     res = picked.groupBy(*group_cols).agg(*agg) if group_cols else picked.agg(*agg)
     return res.select(*group_cols, (F.col("_a") + F.lit(0.5) * (F.col("_b") - F.col("_a"))).alias(out))

@@ -13,6 +13,7 @@ from tillsense.plans.catalog import register, round_doubles
 from tillsense.plans.q_core import OK, stored_features
 from tillsense.plans.sql import FEATURES, RETAIL, TOTAL_ORDER_SQL, q6, with_ctes
 from tillsense.sources.retail import ORDER_KEYS, retail_transactions
+from tillsense.sources.tables import materialize
 
 TEST_FRACTION = 0.1  # global split: 10 % test, then 10 % of the rest for validation
 DRIFT_CUTOFF = 899251200.0  # 1998-07-01 00:00:00 UTC: reference rows before, current rows after
@@ -67,14 +68,29 @@ inference AS (
 )"""
 
 
+_SPLITS: dict = {}
+
+
+def _stored_split(spark, sf_dir, kind):
+    """Split tables are written once per session and data folder (the
+    reference writes its split tables too); fits and scores read them."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _SPLITS:
+        f = stored_features(spark, sf_dir)
+        if kind == "global":
+            s = SP.ordered_split_global(f, SP.total_order(f), TEST_FRACTION, TEST_FRACTION)
+        else:
+            s = SP.ordered_split_by_product(f, SP.total_order(f))
+        _SPLITS[key] = materialize(s, f"split_{kind}")
+    return _SPLITS[key]
+
+
 def split_global(spark, sf_dir):
-    f = stored_features(spark, sf_dir)
-    return SP.ordered_split_global(f, SP.total_order(f), TEST_FRACTION, TEST_FRACTION)
+    return _stored_split(spark, sf_dir, "global")
 
 
 def split_product(spark, sf_dir):
-    f = stored_features(spark, sf_dir)
-    return SP.ordered_split_by_product(f, SP.total_order(f))
+    return _stored_split(spark, sf_dir, "product")
 
 
 def inference_results(spark, sf_dir):
