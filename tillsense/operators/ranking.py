@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsense.session import shuffle_partitions
 from tillsense.sources.tables import materialize
 
 _ALL = "_grp_all"
@@ -57,15 +56,15 @@ def running_total(
         df = df.withColumn(_ALL, F.lit(0))
         group_cols = [_ALL]
         added_all = True
-    p = partitions or shuffle_partitions(df.sparkSession)
     ws = {f"_w{j}": (F.lit(1).cast("bigint") if w is None else F.col(w)) for j, w in enumerate(weights)}
     order = _cols(order_cols)
-    # explicit partition count: AQE must not coalesce, the partition id is a key
-    keyed = (
-        df.withColumns(ws)
-        .repartitionByRange(p, *[F.col(g) for g in group_cols], *order)
-        .withColumn("_pid", F.spark_partition_id())
-    )
+    keys = [F.col(g) for g in group_cols] + order
+    staged = df.withColumns(ws)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (it merges only small neighbours, so a hot group stays split); the
+    # partition id is fixed by the write below.
+    ranged = staged.repartitionByRange(partitions, *keys) if partitions else staged.repartitionByRange(*keys)
+    keyed = ranged.withColumn("_pid", F.spark_partition_id())
     # The rows branch and the totals branch must see the same partitioning.
     # Column pruning gives each branch its own range exchange, i.e. its own
     # sampled bounds, which can differ when the input order is not fixed
