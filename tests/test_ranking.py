@@ -67,3 +67,12 @@ def test_exact_median_with_repeated_values(spark):
     df = spark.createDataFrame(rows, "k string, v double")
     got = {r.k: r.median for r in exact_median(df, "v", ["k"], partitions=3).collect()}
     assert got == {"a": 1.5, "b": 3.0, "c": 4.0}
+
+
+def test_exact_median_bracket_fallback(spark):
+    """A tiny sketch accuracy makes brackets miss: results must stay exact."""
+    pdf, df = _fixture(spark, n=4000, seed=3)
+    got = {r.k: r.median for r in exact_median(df, "v", ["k"], accuracy=2).collect()}
+    for k, g in pdf.groupby("k"):
+        assert np.isclose(got[k], np.median(g["v"]))
+    assert np.isclose(exact_median(df, "v", [], accuracy=3).first().median, np.median(pdf["v"]))

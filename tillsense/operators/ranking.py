@@ -113,38 +113,77 @@ def running_total(
     return res
 
 
+def _attach(df: DataFrame, small: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Columns of a one-row-per-group table on every row of ``df``: a join on
+    the group, or a scalar subquery when there is no group."""
+    if group_cols:
+        return df.join(small, group_cols, "inner")
+    cols = [c for c in small.columns]
+    st = small.select(F.struct(*cols).alias("s")).scalar()
+    return df.withColumns({c: st.getField(c) for c in cols})
+
+
 def exact_median(
     df: DataFrame,
     value_col: str,
     group_cols: Sequence[str] = (),
     out: str = "median",
     partitions: int | None = None,
+    accuracy: int = 10000,
 ) -> DataFrame:
     """Exact (interpolated) median per group: the two middle values a <= b
     give a + 0.5*(b-a). NULL and NaN are skipped; a group whose values are
     all missing gets no row (callers left-join and get NULL).
 
-    Values are first reduced to (value, count) pairs -- combined map-side,
-    so repeated values (prices repeat a lot) never cross the shuffle one by
-    one -- then ranked with count weights. Skew-safe and memory-bounded: no
-    group is buffered in one task.
+    Select, then rank: ``percentile_approx`` (bounded sketch, combined
+    map-side) brackets the middle ranks; one counting pass checks, per group,
+    that the bracket holds them (a failed group gets an unbounded bracket,
+    so the result is always exact); only the values inside the bracket --
+    about 4/accuracy of a large group -- are ranked exactly, as (value,
+    count) pairs. No group is buffered in one task and the full table never
+    crosses a range shuffle.
     """
     group_cols = list(group_cols)
     v = df.select(*[F.col(g) for g in group_cols], F.col(value_col).cast("double").alias("_v"))
     v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = v.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_total(counts, group_cols, [F.col("_v")], out="_cum", weight="_c", partitions=partitions, total_out="_n")
-    lo_rank = F.floor((F.col("_n") + 1) / 2)
-    hi_rank = F.ceil((F.col("_n") + 1) / 2)
-    first = F.col("_cum") - F.col("_c")  # ranks first+1 .. _cum hold this value
+    d = 2.0 / accuracy
+    sketch = [F.percentile_approx("_v", [0.5 - d, 0.5 + d], accuracy).alias("_q"), F.count(F.lit(1)).alias("_n")]
+    br = v.groupBy(*group_cols).agg(*sketch) if group_cols else v.agg(*sketch)
+    br = br.select(*group_cols, F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"), "_n")
+    vb = _attach(v, br, group_cols)
+    counts = [
+        F.count_if(F.col("_v") < F.col("_lo")).alias("_below"),
+        F.count_if(F.col("_v") <= F.col("_hi")).alias("_upto"),
+        F.first("_lo").alias("_lo"),
+        F.first("_hi").alias("_hi"),
+        F.first("_n").alias("_n"),
+    ]
+    chk = vb.groupBy(*group_cols).agg(*counts) if group_cols else vb.agg(*counts)
+    k_lo = F.floor((F.col("_n") + 1) / 2)
+    k_hi = F.ceil((F.col("_n") + 1) / 2)
+    covered = (F.col("_below") < k_lo) & (k_hi <= F.col("_upto"))
+    final = chk.select(
+        *group_cols,
+        F.when(covered, F.col("_lo")).otherwise(F.lit(float("-inf"))).alias("_blo"),
+        F.when(covered, F.col("_hi")).otherwise(F.lit(float("inf"))).alias("_bhi"),
+        F.when(covered, F.col("_below")).otherwise(F.lit(0)).alias("_base"),
+        k_lo.alias("_klo"),
+        k_hi.alias("_khi"),
+    )
+    inside = _attach(v, final, group_cols).where((F.col("_v") >= F.col("_blo")) & (F.col("_v") <= F.col("_bhi")))
+    keys = group_cols or []
+    pairs = inside.groupBy(*keys, "_v", "_base", "_klo", "_khi").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_total(pairs, keys, [F.col("_v")], out="_cum", weight="_c", partitions=partitions)
+    last = F.col("_base") + F.col("_cum")  # global rank of this value's last copy
+    first = last - F.col("_c")
 
     def covers(r):
-        return (first < r) & (r <= F.col("_cum"))
+        return (first < r) & (r <= last)
 
-    picked = ranked.where(covers(lo_rank) | covers(hi_rank))
+    picked = ranked.where(covers(F.col("_klo")) | covers(F.col("_khi")))
     agg = [F.min("_v").alias("_a"), F.max("_v").alias("_b")]
-    res = picked.groupBy(*group_cols).agg(*agg) if group_cols else picked.agg(*agg)
-    return res.select(*group_cols, (F.col("_a") + F.lit(0.5) * (F.col("_b") - F.col("_a"))).alias(out))
+    res = picked.groupBy(*keys).agg(*agg) if keys else picked.agg(*agg)
+    return res.select(*keys, (F.col("_a") + F.lit(0.5) * (F.col("_b") - F.col("_a"))).alias(out))
 
 
 def mode_by(df: DataFrame, group_cols: Sequence[str], value_col: str, out: str = "mode") -> DataFrame:
