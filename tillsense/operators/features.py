@@ -101,7 +101,10 @@ def join_product_imputation(df: DataFrame, global_median=None) -> DataFrame:
     med = exact_median(df, "unitprice", ["stockcode"], out="imputed_unitprice")
     # one value for the whole table: a scalar subquery, run once, no join
     gmed = global_median_price(df).scalar() if global_median is None else global_median
-    out = df.join(mode, "stockcode", "left").join(med, "stockcode", "left")
+    # both per-product tables are joined with each other first (small), so
+    # the rows take one join, not two
+    per_product = mode.join(med, "stockcode", "full")
+    out = df.join(per_product, "stockcode", "left")
     return out.withColumns(
         {
             "country": F.coalesce(F.col("country"), F.col("imputed_country"), F.lit("unknown")),
@@ -110,6 +113,34 @@ def join_product_imputation(df: DataFrame, global_median=None) -> DataFrame:
     ).drop("imputed_country", "imputed_unitprice")
 
 
+def monthly_product_features(df: DataFrame) -> DataFrame:
+    """Lag (E1) and all-time max price (D2) as ONE table keyed by (stockcode,
+    month), so the rows take a single join for both.
+
+    One aggregate per (stockcode, month) -- the NULL month (unparsable date)
+    kept as its own group, so the max sees every row of the product as D2
+    does, while its quantity never feeds a lag -- then one window per
+    product over that aggregate (at most one row per month). The rows join
+    it with a null-safe month key."""
+    monthly = (
+        df.where(F.col("stockcode").isNotNull())
+        .groupBy("stockcode", "month")
+        .agg(
+            F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("_q"),
+            F.max("unitprice").alias("_maxp"),
+        )
+    )
+    w = Window.partitionBy("stockcode").orderBy("month")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return monthly.select(
+        F.col("stockcode").alias("_mstock"),
+        F.col("month").alias("_mmonth"),
+        # NULL months sort first; masking them keeps the first dated month's lag NULL
+        F.lag(F.when(F.col("month").isNotNull(), F.col("_q")), 1).over(w).alias("_lastq"),
+        F.max("_maxp").over(whole).alias("product_max_price_all_time"),
+    )
+
+
 def phase1(raw: DataFrame) -> DataFrame:
     """Rows after code cleaning with calendar, momentum and price features,
     before the quantity filter."""
@@ -117,11 +148,12 @@ def phase1(raw: DataFrame) -> DataFrame:
     df = C.drop_admin_codes_pre(df)
     df = C.prune_columns(df, ["description"])
     df = C.calendar_features(df)
-    monthly = monthly_product_sales(df, with_max_price=True)
-    lagged = last_month_quantity(monthly)
-    maxp = monthly.groupBy("stockcode").agg(F.max("_month_max_price").alias("product_max_price_all_time"))
-    df = join_last_month_quantity(df, lagged)
-    df = df.join(maxp, "stockcode", "left")
+    feats = monthly_product_features(df)
+    cond = (F.col("stockcode") == F.col("_mstock")) & F.col("month").eqNullSafe(F.col("_mmonth"))
+    df = df.join(feats, cond, "left").withColumn(
+        "product_avg_quantity_last_month",
+        F.coalesce(F.when(F.col("month").isNotNull(), F.col("_lastq")), F.lit(0.0)),
+    ).drop("_mstock", "_mmonth", "_lastq")
     df = C.price_ratio_features(df)
     df = C.price_shape_features(df)
     return C.registered_flag(df)

@@ -46,7 +46,10 @@ def get_spark(master: str | None = None, app: str = "tillsense", conf: dict | No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Reliable checkpoint folder: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a scratch folder is made.
+    Only when the session has none and runs in local mode (tests) a scratch
+    folder is made. A cluster session without one is an error: a folder on
+    the driver's disk is not visible to executors and does not survive the
+    loss of a machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) on a cluster")
     local = tempfile.mkdtemp(prefix="tillsense-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
