@@ -147,7 +147,8 @@ def exact_median(
     v = df.select(*[F.col(g) for g in group_cols], F.col(value_col).cast("double").alias("_v"))
     v = v.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     d = 2.0 / accuracy
-    sketch = [F.percentile_approx("_v", [0.5 - d, 0.5 + d], accuracy).alias("_q"), F.count(F.lit(1)).alias("_n")]
+    # percentages must lie in [0, 1]; a coarse sketch just widens the bracket
+    sketch = [F.percentile_approx("_v", [max(0.0, 0.5 - d), min(1.0, 0.5 + d)], accuracy).alias("_q"), F.count(F.lit(1)).alias("_n")]
     br = v.groupBy(*group_cols).agg(*sketch) if group_cols else v.agg(*sketch)
     br = br.select(*group_cols, F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"), "_n")
     vb = _attach(v, br, group_cols)
