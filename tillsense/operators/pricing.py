@@ -7,7 +7,7 @@ apply to all products at once and the result is the table T6.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsense.functions.exprs import demand_units, is_nonfinite, linspace_point, round6
@@ -55,11 +55,12 @@ def price_bounds(stats: DataFrame, unitprice_min: float | None = None, unitprice
     return b.select("stockcode", "price_lo", F.when(widen, F.col("_hi1") * 5).otherwise(F.col("_hi1")).alias("price_hi"))
 
 
-def price_grid(bounds: DataFrame, num_price_bins: int = DEFAULT_PRICE_BINS) -> DataFrame:
-    """``num_price_bins`` evenly spaced prices per product (generator, no join)."""
+def price_grid(bounds: DataFrame, num_price_bins: int = DEFAULT_PRICE_BINS, carry: list[str] = ()) -> DataFrame:
+    """``num_price_bins`` evenly spaced prices per product (generator, no
+    join). ``carry`` passes product-level columns through to every grid row."""
     n = int(num_price_bins)
-    g = bounds.select("stockcode", "price_lo", "price_hi", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("bin"))
-    return g.select("stockcode", "bin", linspace_point("price_lo", "price_hi", F.col("bin"), n).alias("unit_price"))
+    g = bounds.select("stockcode", "price_lo", "price_hi", *carry, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("bin"))
+    return g.select("stockcode", "bin", linspace_point("price_lo", "price_hi", F.col("bin"), n).alias("unit_price"), *carry)
 
 
 def global_line(features: DataFrame, y: str = "quantity", x: str = "unitprice_log"):
@@ -163,11 +164,35 @@ def price_recommendation(
     as in the sampled version).
     """
     stats = price_stats(features)
-    grid = price_grid(price_bounds(stats, unitprice_min, unitprice_max), num_price_bins)
+    bounds = price_bounds(stats, unitprice_min, unitprice_max)
     model = demand_model_by_product(features)
-    curve = price_curve(score_grid(grid, model))
-    best = optimal_price(curve)
-    return curve.join(best, "stockcode").select(
+    # Product-level join first (one row per product on both sides), then the
+    # grid is generated from it: the grid keeps that table's partitioning on
+    # stockcode, and every later step (failover flag, curve, optimum) holds
+    # at most ``num_price_bins`` rows per product, so windows over stockcode
+    # are bounded and the grid is never shuffled again.
+    per = bounds.join(model, "stockcode", "left")
+    grid = price_grid(per, num_price_bins, carry=["slope", "intercept", "global_slope", "global_intercept"])
+    lx = F.log1p(F.col("unit_price"))
+    scored = grid.select(
+        "stockcode", "bin", "unit_price",
+        (F.col("intercept") + F.col("slope") * lx).alias("y_primary"),
+        (F.col("global_intercept") + F.col("global_slope") * lx).alias("y_backup"),
+    )
+    by_product = Window.partitionBy("stockcode")
+    bad_row = F.col("y_primary").isNull() | is_nonfinite(F.exp(F.col("y_primary"))) | (F.exp(F.col("y_primary")) == 0.0)
+    scored = scored.withColumn(
+        "y_pred", F.when(F.bool_or(bad_row).over(by_product), F.col("y_backup")).otherwise(F.col("y_primary"))
+    )
+    curve = price_curve(scored)
+    key = F.struct(F.col("sales"), (-F.col("unit_price")).alias("neg_price"))
+    best = curve.withColumns(
+        {
+            "optimal_unit_price": F.max_by(F.col("unit_price"), key).over(by_product),
+            "max_predicted_sales": F.max("sales").over(by_product),
+        }
+    )
+    return best.select(
         "stockcode",
         round6("unit_price").alias("unit_price"),
         F.col("quantity_avg").cast("bigint").alias("quantity"),
