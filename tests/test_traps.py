@@ -55,6 +55,22 @@ def test_e1_lag_skips_gap_months(spark):
     assert out["2020-03-01"] == 7.0  # March gets January's sum; February is absent
 
 
+def test_k20_undated_row_counts_for_max_not_for_lag(spark):
+    """A row with an unparsable date (NULL month) still belongs to the
+    product's all-time max price, but its quantity never becomes a lag."""
+    raw = raw_frame(
+        spark,
+        [
+            ("1", "p", 50.0, None, 99.0, "c", "a"),
+            ("2", "p", 2.0, "2020-01-05", 1.0, "c", "a"),
+            ("3", "p", 3.0, "2020-02-05", 2.0, "c", "a"),
+        ],
+    )
+    rows = FE.phase1(raw).select("invoiceno", "product_max_price_all_time", "product_avg_quantity_last_month").collect()
+    got = {r.invoiceno: (r.product_max_price_all_time, r.product_avg_quantity_last_month) for r in rows}
+    assert got == {"1": (99.0, 0.0), "2": (99.0, 0.0), "3": (99.0, 2.0)}
+
+
 def test_d3_mode_smallest_on_ties_and_unknown(spark):
     rows = [("p", "a"), ("p", "a"), ("p", "b"), ("p", "b"), ("p", None), ("q", None)]
     df = spark.createDataFrame([(k, c, 1.0) for k, c in rows], "stockcode string, country string, unitprice double")
@@ -121,3 +137,30 @@ def test_j10_failover_is_per_product(spark):
     got = {(r.stockcode, r.bin): r.y_pred for r in PR.score_failover(df).collect()}
     assert got[("p", 0)] == 1.0 and got[("p", 1)] == 1.5  # exp(1000) = Inf: whole product uses backup
     assert got[("q", 0)] == 1.0 and got[("q", 1)] == 2.0
+
+
+def test_j11_flagship_equals_step_by_step_composition(spark):
+    """The flagship's window form (grid kept on its product partitioning)
+    gives the same table as J2 -> J10 -> D8 -> F3 joined back."""
+    rows = []
+    for i in range(40):
+        rows.append((str(i), "p", float(1 + i % 5), f"2020-0{1 + i % 6}-0{1 + i % 9}", float(2 + (i % 7)), "c", "a"))
+        rows.append((str(100 + i), "q", float(3 + i % 2), f"2020-0{1 + i % 3}-1{i % 9}", 4.0, "c", "b"))
+    f = FE.transactions_features(raw_frame(spark, rows), stage=False)
+    got = sorted(PR.price_recommendation(f, num_price_bins=7).collect())
+    stats = PR.price_stats(f)
+    grid = PR.price_grid(PR.price_bounds(stats), 7)
+    curve = PR.price_curve(PR.score_grid(grid, PR.demand_model_by_product(f)))
+    best = PR.optimal_price(curve)
+    ref = curve.join(best, "stockcode").select(
+        "stockcode",
+        PR.round6("unit_price").alias("unit_price"),
+        F.col("quantity_avg").cast("bigint").alias("quantity"),
+        F.col("quantity_min").cast("bigint").alias("quantity_min"),
+        F.col("quantity_max").cast("bigint").alias("quantity_max"),
+        PR.round6("sales").alias("predicted_sales"),
+        PR.round6("optimal_unit_price").alias("optimal_unit_price"),
+        PR.round6("max_predicted_sales").alias("max_predicted_sales"),
+    )
+    assert len(got) == 14
+    assert got == sorted(ref.collect())
