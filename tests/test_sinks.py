@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillsense.operators import drift as DR
 from tillsense.operators import quality as QU
 from tillsense.sources import sinks as SK
-from tillsense.sources.tables import table_path
+from tillsense.sources.tables import drop_session_tables, materialize, session_cache, table_path
 
 
 def test_latest_by_name_and_by_modification(spark):
@@ -62,3 +62,22 @@ def test_gates_raise(spark):
     with pytest.raises(DR.DriftDetected):
         DR.drift_gate(summary)
     QU.assert_gate(report.where("NOT is_blocking"))
+
+
+def test_drop_session_tables_removes_files_and_cached_handles(spark):
+    """Intermediate tables of one application share one folder; dropping it
+    deletes the files and forgets the cached handles of that application."""
+    import os
+
+    cache = session_cache()
+    app = spark.sparkContext.applicationId
+    t = materialize(spark.range(5), "drop_probe")
+    cache[(app, "probe")] = t
+    cache[("other-app", "probe")] = t
+    path = t.inputFiles()[0].replace("file://", "").replace("file:", "")
+    assert os.path.exists(path)
+    assert drop_session_tables(spark)
+    assert not os.path.exists(path)
+    assert list(cache) == [("other-app", "probe")]
+    # stored tables are rebuilt on demand afterwards
+    assert materialize(spark.range(3), "drop_probe").count() == 3

@@ -27,7 +27,7 @@ from tillsense.plans.sql import (
     with_ctes,
 )
 from tillsense.sources.retail import ORDER_KEYS, normalize_columns, read_table, retail_transactions
-from tillsense.sources.tables import materialize
+from tillsense.sources.tables import materialize, session_cache
 
 RAW_COLS = ["invoiceno", "stockcode", "quantity", "invoicedate", "unitprice", "customerid", "country"] + ORDER_KEYS
 FEATURE_OUT = FE.FEATURE_COLUMNS + ORDER_KEYS
@@ -39,7 +39,7 @@ def features_of(spark, sf_dir):
     return FE.transactions_features(retail_transactions(spark, sf_dir))
 
 
-_STORED: dict = {}
+_STORED: dict = session_cache()
 
 
 def stored_features(spark, sf_dir):

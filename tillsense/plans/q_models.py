@@ -9,9 +9,9 @@ from tillsense.operators import encoding as EN
 from tillsense.operators import models as MD
 from tillsense.plans.catalog import register
 from tillsense.plans.q_quality import CAT_COLS, NUM_COLS, split_global
-from tillsense.sources.tables import materialize, table_path
+from tillsense.sources.tables import materialize, session_cache, table_path
 
-_ML_CACHE: dict = {}
+_ML_CACHE: dict = session_cache()
 
 
 def ml_frame(spark, sf_dir):

@@ -13,7 +13,7 @@ from tillsense.plans.catalog import register, round_doubles
 from tillsense.plans.q_core import OK, stored_features
 from tillsense.plans.sql import FEATURES, RETAIL, TOTAL_ORDER_SQL, q6, with_ctes
 from tillsense.sources.retail import ORDER_KEYS, retail_transactions
-from tillsense.sources.tables import materialize
+from tillsense.sources.tables import materialize, session_cache
 
 TEST_FRACTION = 0.1  # global split: 10 % test, then 10 % of the rest for validation
 DRIFT_CUTOFF = 899251200.0  # 1998-07-01 00:00:00 UTC: reference rows before, current rows after
@@ -68,7 +68,7 @@ inference AS (
 )"""
 
 
-_SPLITS: dict = {}
+_SPLITS: dict = session_cache()
 
 
 def _stored_split(spark, sf_dir, kind):

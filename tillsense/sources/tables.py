@@ -16,9 +16,26 @@ from pyspark.sql import DataFrame
 from tillsense.session import checkpoint_dir
 
 
+_CACHES: list[dict] = []
+
+
+def session_cache() -> dict:
+    """A dict of stored tables keyed by ``(applicationId, ...)``; its entries
+    for an application are dropped together with that application's tables."""
+    d: dict = {}
+    _CACHES.append(d)
+    return d
+
+
+def session_tables_root(spark) -> str:
+    """All tables one application stores live under one folder, so they can
+    be removed together."""
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{spark.sparkContext.applicationId}"
+
+
 def table_path(df: DataFrame, name: str) -> str:
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    return f"{session_tables_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, partition_cols: list[str] | None = None) -> DataFrame:
@@ -28,3 +45,19 @@ def materialize(df: DataFrame, name: str, partition_cols: list[str] | None = Non
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_session_tables(spark) -> bool:
+    """Delete every intermediate table this application stored and forget
+    the cached handles to them. Call it when the job's results are written:
+    DataFrames returned earlier that read these tables must not be used
+    afterwards. Goes through the Hadoop FileSystem of the folder, so it
+    works for HDFS, S3 or ABFS as well as a local path."""
+    app = spark.sparkContext.applicationId
+    for d in _CACHES:
+        for k in [k for k in d if isinstance(k, tuple) and k and k[0] == app]:
+            del d[k]
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(session_tables_root(spark))
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
