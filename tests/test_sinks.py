@@ -81,3 +81,29 @@ def test_drop_session_tables_removes_files_and_cached_handles(spark):
     assert list(cache) == [("other-app", "probe")]
     # stored tables are rebuilt on demand afterwards
     assert materialize(spark.range(3), "drop_probe").count() == 3
+
+
+def test_cluster_session_without_checkpoint_dir_is_refused():
+    """A machine-local scratch folder is only made in local mode; on a
+    cluster the shared spark.checkpoint.dir must be configured."""
+    from types import SimpleNamespace
+
+    from tillsense.session import checkpoint_dir
+
+    set_dirs = []
+
+    def ctx(master, configured=None):
+        conf = SimpleNamespace(get=lambda key, default=None: configured if key == "spark.checkpoint.dir" else default)
+        sc = SimpleNamespace(
+            master=master,
+            getCheckpointDir=lambda: set_dirs[-1] if set_dirs else None,
+            getConf=lambda: conf,
+            setCheckpointDir=set_dirs.append,
+        )
+        return SimpleNamespace(sparkContext=sc)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(ctx("yarn"))
+    assert set_dirs == []
+    assert checkpoint_dir(ctx("yarn", "hdfs:///shared/ckpt")) == "hdfs:///shared/ckpt"
+    assert set_dirs == ["hdfs:///shared/ckpt"]
