@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsense.llm import langid, mixing, packing, secrets, sharding
+from tillsense.llm import fingerprint, langid, mixing, packing, secrets, sharding
 from tillsense.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op2_sharding": _documents(sharding.shard_documents),
     "op3_mixing": _documents(mixing.mix_documents),
     "op4_packing": _documents(packing.pack_documents),
+    "op5_fingerprints": _documents(fingerprint.fingerprint_documents),
     "op7_secret_scan": _documents(secrets.scan_documents),
 }
 
