@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsense.llm import fingerprint, langid, mixing, packing, secrets, sharding
+from tillsense.llm import fingerprint, langid, mixing, ngram_join, packing, secrets, sharding
 from tillsense.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op3_mixing": _documents(mixing.mix_documents),
     "op4_packing": _documents(packing.pack_documents),
     "op5_fingerprints": _documents(fingerprint.fingerprint_documents),
+    "op6_ngram_join": _documents(ngram_join.similar_components),
     "op7_secret_scan": _documents(secrets.scan_documents),
 }
 
