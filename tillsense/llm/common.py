@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ from tillsense.sources.tables import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 
-LOWER_ASCII = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Bits of the filter of :func:`id_filter`: 2 MB.
+FILTER_BITS = 2**24
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +41,7 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def text_batches(pdf, rows: int = 2000, chars: int = 8_000_000):
+def text_batches(pdf, rows: int = 2000, chars: int = 2_000_000):
     """Slices of a pandas batch with a bounded number of rows and characters
     (one longer text is a slice of its own)."""
     sizes = pdf["text"].str.len().fillna(0).to_numpy(dtype=np.int64)
@@ -87,3 +90,26 @@ def prefix_sums(df: DataFrame, group: list[str], key: str, tie: list[str], weigh
     before = Window.partitionBy("_g").orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = totals.select("_g", "_c", (F.sum("_t").over(before) - F.col("_t")).alias("_start"))
     return rows.join(starts, ["_g", "_c"]).withColumn(out, (F.col("_start") + F.col("_in")).cast("long")).drop("_g", "_c", "_in", "_start")
+
+
+def id_filter(ids: DataFrame, column: str):
+    """A pandas UDF that is true for all of ``ids`` and for few others: a filter
+    of ``FILTER_BITS`` bits, whatever the number of ids."""
+    bit = F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS))
+    rows = (
+        ids.select(bit.alias("_b"))
+        .groupBy(F.shiftright("_b", 5).cast("int").alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 32 as int))")).alias("m"))
+        .toPandas()
+    )
+    words = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
+    words[rows["w"].to_numpy(np.int64)] = rows["m"].to_numpy(np.int64).astype(np.uint32)
+    shared = ids.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def maybe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            v = b.to_numpy(np.int64)
+            yield pd.Series((shared.value[v >> 5] >> (v & 31).astype(np.uint32) & 1).astype(bool))
+
+    return lambda c: maybe(F.pmod(F.xxhash64(F.col(c)), F.lit(FILTER_BITS)))

@@ -13,11 +13,11 @@ split; no node's edges are ever collected.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsense.llm.common import stored
@@ -80,3 +80,41 @@ def components(edges: DataFrame) -> DataFrame:
         raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
     roots = stars.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def index_entries(entries: DataFrame) -> DataFrame:
+    """From (key, id, n, at) the stored rows whose key has other rows, with the
+    row of the key's smallest id as ``p``."""
+    key = Window.partitionBy("key")
+    grouped = entries.withColumn("_size", F.count("*").over(key)).withColumn("p", F.min(F.struct("id", "n", "at")).over(key))
+    return stored(grouped.filter("_size > 1").select("key", "id", "n", "at", "p"), "index")
+
+
+def _possible(n: str, at: str, m: str, bt: str) -> Column:
+    """Sets of n and m values have a similarity of 4/5 if 9 o >= 4 (n + m) for
+    their overlap o. From the positions (not -1) of their first common value on
+    in a common order, at most the shorter rest is common."""
+    rest = F.when((F.col(at) < 0) | (F.col(bt) < 0), F.least(n, m)).otherwise(F.least(F.col(n) - F.col(at), F.col(m) - F.col(bt)))
+    return rest * 9 >= (F.col(n) + F.col(m)) * 4
+
+
+def linked_components(index: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, component) over the ids linked by ``verified`` (of candidates
+    a, b, those that are similar), where all similar pairs share a key.
+
+    Pairs within a key are never all emitted. First every id meets its keys'
+    smallest ids. What is linked so far gives components, and the second round
+    compares only ids of a key that are still in different components: links
+    inside a component cannot change it, and no other link is lost.
+    """
+    stars = index.select("id", "n", "at", F.col("p.id").alias("pid"), F.col("p.n").alias("pn"), F.col("p.at").alias("pat")).filter("id != pid")
+    pairs = stored(stars.filter(_possible("n", "at", "pn", "pat")).select(F.col("pid").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    links = stored(verified(pairs), "links")
+    one = components(links)
+    placed = index.join(one.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).select("key", "id", "n", "at", "component")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo != _hi").select("key")
+    left = stored(placed.join(mixed, "key", "left_semi"), "mixed-keys")
+    other = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "at", "component")])
+    cross = left.join(other, "key").filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & _possible("n", "at", "n2", "at2"))
+    more = stored(cross.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    return components(links.unionByName(stored(verified(more), "links")))
