@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsense.llm import fingerprint, langid, line_dedup, mixing, ngram_join, packing, secrets, sharding
+from tillsense.llm import embedding_join, fingerprint, langid, line_dedup, mixing, ngram_join, packing, secrets, sharding
 from tillsense.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {
     "op5_fingerprints": _documents(fingerprint.fingerprint_documents),
     "op6_ngram_join": _documents(ngram_join.similar_components),
     "op7_secret_scan": _documents(secrets.scan_documents),
+    "op8_embedding_join": lambda spark, sf_dir: embedding_join.near_vectors(read_table(spark, sf_dir, "embeddings")),
     "op9_line_dedup": _documents(line_dedup.dedup_documents),
 }
 
