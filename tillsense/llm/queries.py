@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsense.llm import embedding_join, fingerprint, langid, line_dedup, mixing, ngram_join, packing, secrets, sharding
+from tillsense.llm import embedding_join, fingerprint, langid, line_dedup, mixing, ngram_join, packing, secrets, sharding, toxicity
 from tillsense.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def _documents(apply: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: apply(read_table(spark, sf_dir, "documents"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _documents(langid.identify_documents),
     "op2_sharding": _documents(sharding.shard_documents),
@@ -26,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op7_secret_scan": _documents(secrets.scan_documents),
     "op8_embedding_join": lambda spark, sf_dir: embedding_join.near_vectors(read_table(spark, sf_dir, "embeddings")),
     "op9_line_dedup": _documents(line_dedup.dedup_documents),
+    "op10_toxicity": _toxicity,
 }
 
 SQL: dict[str, str] = {
