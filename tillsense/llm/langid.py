@@ -39,6 +39,9 @@ SMOOTHING = 0.5
 MIN_SCORE = 0.5
 FOLDS, HELD_OUT = 5, 0
 
+#: Characters scored at a time: an n-gram takes some 50 bytes for each language.
+SLICE = 400_000
+
 _LETTER = re.compile(r"[^\W\d_]")
 _BLANK = re.compile(r"\s+")
 
@@ -90,7 +93,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((len(langs), buckets), dtype=np.int64)
         for pdf in batches:
-            for part in text_batches(pdf):
+            for part in text_batches(pdf, chars=SLICE):
                 slots, ptr = hashed_ngrams(part["text"].tolist(), buckets)
                 row = np.repeat(part["lang"].map(place).to_numpy(np.int64), np.diff(ptr))
                 total += np.bincount(row * buckets + slots, minlength=total.size).reshape(total.shape)
@@ -126,7 +129,7 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
             pred = np.full(len(series), "und", dtype=object)
             score = np.zeros(len(series))
             pdf = pd.DataFrame({"text": series.to_numpy(), "at": np.arange(len(series))})
-            for part in text_batches(pdf):
+            for part in text_batches(pdf, chars=SLICE):
                 part = part[[t is not None and bool(_LETTER.search(t)) for t in part["text"]]]
                 if len(part) and langs:
                     p = score_batch(part["text"].tolist(), model.value)
