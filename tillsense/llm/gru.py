@@ -206,13 +206,14 @@ class Adam:
             a[rows] -= (fix * m / (np.sqrt(s) + 1e-8)).astype(a.dtype)
 
 
-def fit(texts: list[str], labels: np.ndarray, width: int, epochs: int = 8, batch: int = 256, rate: float = 0.01, seed: int = 10) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def fit(texts: list[str], labels: np.ndarray, width: int, epochs: int = 8, batch: int = 256, steps: int = 600, rate: float = 0.01, seed: int = 10) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """(parameters, best window logit of each text).
 
     A text of label 1 need only have one window that shows it: after two epochs
     on all its windows, its positive ones are its best one and those the model
     is sure of, and its others do not train. Of the windows of label 0, an
-    epoch takes a quarter at random, and all that the model is unsure of."""
+    epoch takes a quarter at random, and all that the model is unsure of. A
+    small sample takes smaller batches and more epochs, to make some ``steps``."""
     r = np.random.Generator(np.random.PCG64(seed))
     v = read_words(texts)
     grid, owner = window_grid(v, width, width)
@@ -221,6 +222,8 @@ def fit(texts: list[str], labels: np.ndarray, width: int, epochs: int = 8, batch
     y = labels[owner].astype(np.float32)
     logits = np.zeros(len(grid), dtype=np.float32)
     sizes = np.diff(v.gram_ptr)
+    batch = int(np.clip(len(grid) // 40, 32, batch))
+    epochs = max(epochs, min(4 * epochs, steps * batch * 2 // max(1, len(grid))))
     for epoch in range(epochs):
         use = np.where(y == 1, True, (r.random(len(y)) < 0.25) | ((epoch > 0) & (logits > -3.0)))
         if epoch >= 2:
@@ -229,7 +232,7 @@ def fit(texts: list[str], labels: np.ndarray, width: int, epochs: int = 8, batch
             use &= (y == 0) | (logits >= best[owner]) | (logits > 2.0)
         rows = r.permutation(np.nonzero(use)[0])
         balance = (y[rows] == 0).sum() / max(1, (y[rows] == 1).sum())
-        adam.rate = rate if epoch < epochs - 3 else rate / 5
+        adam.rate = rate if epoch < epochs * 5 // 8 else rate / 5
         for lo in range(0, len(rows), batch):
             at = rows[lo : lo + batch]
             words, local = np.unique(np.concatenate([[0], grid[at].reshape(-1)]), return_inverse=True)  # the padding stays word 0
