@@ -36,6 +36,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def texts_of(column) -> list[str]:
+    """The texts of a pandas column, null as the empty text."""
+    return [t if isinstance(t, str) else "" for t in column]
+
+
 def n_words(text: Column) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -44,13 +49,13 @@ def n_words(text: Column) -> Column:
 def text_batches(pdf, rows: int = 2000, chars: int = 2_000_000):
     """Slices of a pandas batch with a bounded number of rows and characters
     (one longer text is a slice of its own)."""
-    sizes = pdf["text"].str.len().fillna(0).to_numpy(dtype=np.int64)
+    sizes = [len(t) if isinstance(t, str) else 0 for t in pdf["text"]]
     start = total = 0
     for i, s in enumerate(sizes):
         if i > start and (i - start >= rows or total + s > chars):
             yield pdf.iloc[start:i]
             start, total = i, 0
-        total += int(s)
+        total += s
     if start < len(pdf):
         yield pdf.iloc[start:]
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsense.llm.common import stored, text_batches
+from tillsense.llm.common import text_batches, texts_of
 
 ORDERS = (1, 2, 3)
 BUCKETS = 2**16
@@ -128,9 +128,9 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
         for series in batches:
             pred = np.full(len(series), "und", dtype=object)
             score = np.zeros(len(series))
-            pdf = pd.DataFrame({"text": series.to_numpy(), "at": np.arange(len(series))})
+            pdf = pd.DataFrame({"text": texts_of(series), "at": np.arange(len(series))})
             for part in text_batches(pdf, chars=SLICE):
-                part = part[[t is not None and bool(_LETTER.search(t)) for t in part["text"]]]
+                part = part[[bool(_LETTER.search(t)) for t in part["text"]]]
                 if len(part) and langs:
                     p = score_batch(part["text"].tolist(), model.value)
                     best = p.argmax(axis=1)
@@ -145,7 +145,7 @@ def identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is known: those with a letter and a
     score of at least ``min_score``. Learns from the rows that have a lang."""
     langs, logp = train(docs.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    keep = predict(docs.withColumn("_row", F.struct(*docs.columns)).select("_row", "text"), langs, logp)
+    keep = predict(docs.select(F.struct("*").alias("_row"), "text"), langs, logp)  # whatever its columns are called
     return keep.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("_row.*")
 
 

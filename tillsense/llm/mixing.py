@@ -82,10 +82,10 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     """The mixed corpus itself: each document as often as the mix takes it, with
     the columns of ``docs``. Documents stay whole here: the one at a source's
     cut is taken once more if at least half of it lies before the cut."""
-    rows = docs.withColumn("size", n_words(F.col("text")))
-    d = mix(stored(rows.select("doc_id", "source", "size"), "mix-sizes"), rows, tie=("text",))
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.struct("*").alias("_row"))  # whatever its columns are called
+    d = mix(stored(rows.select("doc_id", "source", "size"), "mix-sizes"), rows, tie=("_row.text",))
     times = F.col("epochs") + F.when((F.col("cut") > 0) & (F.col("cut") * 2 >= F.col("size")), 1).otherwise(0)
-    return d.withColumn("_n", times.cast("int")).filter("_n > 0").withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    return d.withColumn("_n", times.cast("int")).filter("_n > 0").withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")
 
 
 MIX_SQL = r"""

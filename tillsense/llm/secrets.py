@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.llm.automaton import Automaton, compile_rules, scan
-from tillsense.llm.common import text_batches
+from tillsense.llm.common import text_batches, texts_of
 
 
 def _either(word: str) -> str:
@@ -102,7 +102,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in batches:
             rows = []
-            for part in text_batches(pd.DataFrame({"text": series.fillna("").to_numpy()})):
+            for part in text_batches(pd.DataFrame({"text": texts_of(series)}, dtype=object)):
                 for spans in find_spans(part["text"].tolist(), auto.value):
                     base = [s for s in spans if s[2] in BASE]
                     n = [sum(s[2] == k for s in base) for k in KINDS]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.llm import gru
-from tillsense.llm.common import md5_key, text_batches
+from tillsense.llm.common import md5_key, text_batches, texts_of
 
 WIDTH, STRIDE = 32, 24
 POSITIVES, NEGATIVES = 1000, 8000
@@ -104,7 +104,7 @@ def score(docs: DataFrame, params: dict[str, np.ndarray] | None, level: float) -
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
             parts = [np.zeros(0)]
-            for part in text_batches(pd.DataFrame({"text": series.fillna("").to_numpy()}), chars=SLICE):
+            for part in text_batches(pd.DataFrame({"text": texts_of(series)}, dtype=object), chars=SLICE):
                 logit = _worst(part["text"].tolist(), model.value).astype(np.float64) + shift
                 parts.append(np.round(1 / (1 + np.exp(-np.clip(logit, -40, 40))), 6))
             yield pd.Series(np.concatenate(parts))
