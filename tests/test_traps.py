@@ -154,13 +154,13 @@ def test_j11_flagship_equals_step_by_step_composition(spark):
     best = PR.optimal_price(curve)
     ref = curve.join(best, "stockcode").select(
         "stockcode",
-        PR.round6("unit_price").alias("unit_price"),
+        F.col("unit_price").alias("unit_price"),
         F.col("quantity_avg").cast("bigint").alias("quantity"),
         F.col("quantity_min").cast("bigint").alias("quantity_min"),
         F.col("quantity_max").cast("bigint").alias("quantity_max"),
-        PR.round6("sales").alias("predicted_sales"),
-        PR.round6("optimal_unit_price").alias("optimal_unit_price"),
-        PR.round6("max_predicted_sales").alias("max_predicted_sales"),
+        F.col("sales").alias("predicted_sales"),
+        F.col("optimal_unit_price").alias("optimal_unit_price"),
+        F.col("max_predicted_sales").alias("max_predicted_sales"),
     )
     assert len(got) == 14
     assert got == sorted(ref.collect())

@@ -88,23 +88,20 @@ def nan_to_null(c) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
-# (upper bound of |x|, scale): about nine significant digits, six decimals at most
-ROUND_LADDER = [(1e3, 1e6), (1e6, 1e3), (1e9, 1.0), (1e12, 1e-3)]
+# From here on doubles are spaced wider than 1e-6: rounding changes nothing.
+ROUND_LIMIT = 2.0**33
 
 
-def round6(c) -> Column:
-    """Round for cross-engine comparison: floor(x*s + 0.5)/s with s = 1e6 for
-    |x| < 1e3, 1e3 below 1e6, 1 below 1e9, 1e-3 below 1e12 (about nine
-    significant digits, so order-dependent sums agree). Only IEEE basic
-    operations, so every engine gives the same bits for the same input.
-    Non-finite and larger values are left as they are.
+def round6(c, decimals: int = 6) -> Column:
+    """Round to a fixed number of decimals, whatever the size of the value:
+    floor(x * 10^decimals + 0.5) / 10^decimals. Only IEEE basic operations, so
+    every engine gives the same bits for the same input. For checks only; no
+    operator stores rounded values. Non-finite values are left as they are.
     """
     c = col_or_name(c)
-    out = c
-    for bound, scale in reversed(ROUND_LADDER):
-        r = F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-        out = F.when(F.abs(c) < F.lit(bound), r).otherwise(out)
-    return F.when(c.isNull() | is_nonfinite(c), c).otherwise(out)
+    scale = F.lit(10.0**decimals)
+    r = F.floor(c * scale + F.lit(0.5)).cast("double") / scale
+    return F.when(F.abs(c) < F.lit(ROUND_LIMIT), r).otherwise(c)
 
 
 def demand_units(log_pred) -> Column:

@@ -3,9 +3,10 @@ column (L1-L5, D16).
 
 The reference delegates to a drift library and reads only the count and
 share of drifted columns; the tests here follow that library's documented
-defaults [choice]: numeric columns use the two-sample KS test for small
-reference samples and the normed Wasserstein distance otherwise, categorical
-columns the Jensen-Shannon distance. Every statistic is a Spark plan:
+tests [choice]: for numeric columns the two-sample KS test or the normed
+Wasserstein distance, for categorical ones the chi-square test or the
+Jensen-Shannon distance. Which of the two decides is a parameter, the same
+for every group whatever its size; both are reported. Every statistic is a Spark plan:
 distinct values with counts, running totals over the value order (range
 partitioned, see ``ranking``), joins on keys.
 """
@@ -21,7 +22,7 @@ from tillsense.operators.ranking import running_total
 
 # Fixed values of the drift tests.
 KS_ALPHA_COEF = 1.3581  # sqrt(-ln(0.05/2)/2): asymptotic two-sample KS critical constant at alpha=0.05
-KS_MAX_ROWS = 1000  # reference rows up to which the KS test is used
+CHI2_Z = 1.6448536  # standard normal 0.95 quantile: chi-square critical value at alpha=0.05 (Wilson-Hilferty)
 WASSERSTEIN_THRESHOLD = 0.1
 WASSERSTEIN_MIN_STD = 0.001
 JS_THRESHOLD = 0.1
@@ -104,8 +105,9 @@ def drift_numeric_wasserstein(reference: DataFrame, current: DataFrame, num_cols
 
 
 def drift_categorical_js(reference: DataFrame, current: DataFrame, cat_cols: Sequence[str], group: Sequence[str] = ("stockcode",)) -> DataFrame:
-    """L3: Jensen-Shannon distance (natural log) of the category shares;
-    drift when >= 0.1."""
+    """L3: Jensen-Shannon distance (natural log) of the category shares, drift
+    when >= 0.1; and the chi-square statistic of the counts with its critical
+    value at alpha = 0.05."""
     group = list(group)
 
     def side(df, ref):
@@ -123,16 +125,26 @@ def drift_categorical_js(reference: DataFrame, current: DataFrame, cat_cols: Seq
     p = F.col("c_ref") / F.col("n_ref")
     q = F.col("c_cur") / F.col("n_cur")
     m = (p + q) / 2
+    c = F.col("c_ref") + F.col("c_cur")
 
     def rel(a):
         return F.when(a > 0, a * F.log(a / m)).otherwise(F.lit(0.0))
 
     js = j.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).groupBy(*group, "column_name").agg(
         F.sqrt(F.greatest(F.sum(rel(p) + rel(q)) / 2, F.lit(0.0))).alias("js_distance"),
+        F.sum(F.col("c_ref") * F.col("c_ref") / (F.col("n_ref") * c) + F.col("c_cur") * F.col("c_cur") / (F.col("n_cur") * c)).alias("_s"),
+        (F.count("*") - 1).alias("_df"),
         F.max("n_ref").alias("n_ref"),
         F.max("n_cur").alias("n_cur"),
     )
-    return js.withColumn("js_drift", F.col("js_distance") >= F.lit(JS_THRESHOLD))
+    k = F.lit(2.0) / (F.col("_df") * 9)
+    edge = 1 - k + F.lit(CHI2_Z) * F.sqrt(k)
+    return (
+        js.withColumn("js_drift", F.col("js_distance") >= F.lit(JS_THRESHOLD))
+        .withColumn("chi2", F.greatest((F.col("n_ref") + F.col("n_cur")) * (F.col("_s") - 1), F.lit(0.0)))
+        .withColumn("chi2_drift", F.when(F.col("_df") > 0, F.col("chi2") > F.col("_df") * edge * edge * edge).otherwise(F.lit(False)))
+        .drop("_s", "_df")
+    )
 
 
 def _numeric_tests(reference: DataFrame, current: DataFrame, num_cols: Sequence[str], group: Sequence[str]) -> DataFrame:
@@ -161,27 +173,35 @@ def _numeric_tests(reference: DataFrame, current: DataFrame, num_cols: Sequence[
     )
 
 
-def drift_columns(reference: DataFrame, current: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], group: Sequence[str] = ("stockcode",)) -> DataFrame:
-    """Per (group, column): the chosen test, its value and the drift flag."""
+def drift_columns(
+    reference: DataFrame,
+    current: DataFrame,
+    num_cols: Sequence[str],
+    cat_cols: Sequence[str],
+    group: Sequence[str] = ("stockcode",),
+    numeric_test: str = "ks",
+    categorical_test: str = "chi2",
+) -> DataFrame:
+    """Per (group, column): the statistic and flag of the deciding test
+    (``numeric_test``: ks or wasserstein, ``categorical_test``: chi2 or
+    jensenshannon) and, as ``other_statistic``, that of the other one."""
     group = list(group)
+    tests = {"ks": ("ks_stat", "ks_drift"), "wasserstein": ("w1_norm", "w1_drift"), "chi2": ("chi2", "chi2_drift"), "jensenshannon": ("js_distance", "js_drift")}
+
+    def part(df, role, chosen, other):
+        stat, flag = tests[chosen]
+        return df.select(
+            *group, "column_name", F.lit(role).alias("role"), F.lit(chosen).alias("test"), F.col(stat).alias("statistic"),
+            F.col(tests[other][0]).alias("other_statistic"), F.coalesce(F.col(flag), F.lit(False)).alias("drifted"),
+        )
+
     parts = []
     if num_cols:
-        num = _numeric_tests(reference, current, num_cols, group)
-        use_ks = F.col("n_ref") <= KS_MAX_ROWS
-        parts.append(
-            num.select(
-                *group, "column_name", F.lit("numeric").alias("role"),
-                F.when(use_ks, F.lit("ks")).otherwise(F.lit("wasserstein")).alias("test"),
-                F.when(use_ks, F.col("ks_stat")).otherwise(F.col("w1_norm")).alias("statistic"),
-                F.coalesce(F.when(use_ks, F.col("ks_drift")).otherwise(F.col("w1_drift")), F.lit(False)).alias("drifted"),
-            )
-        )
+        other = {"ks": "wasserstein", "wasserstein": "ks"}[numeric_test]
+        parts.append(part(_numeric_tests(reference, current, num_cols, group), "numeric", numeric_test, other))
     if cat_cols:
-        js = drift_categorical_js(reference, current, cat_cols, group)
-        parts.append(
-            js.select(*group, "column_name", F.lit("categorical").alias("role"), F.lit("jensenshannon").alias("test"),
-                      F.col("js_distance").alias("statistic"), F.coalesce(F.col("js_drift"), F.lit(False)).alias("drifted"))
-        )
+        other = {"chi2": "jensenshannon", "jensenshannon": "chi2"}[categorical_test]
+        parts.append(part(drift_categorical_js(reference, current, cat_cols, group), "categorical", categorical_test, other))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

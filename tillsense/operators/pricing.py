@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsense.functions.exprs import demand_units, is_nonfinite, linspace_point, round6
+from tillsense.functions.exprs import demand_units, is_nonfinite, linspace_point
 from tillsense.operators.ranking import exact_median
 
 # Fixed values of the pricing request (defaults of the reference endpoint).
@@ -194,13 +194,13 @@ def price_recommendation(
     )
     return best.select(
         "stockcode",
-        round6("unit_price").alias("unit_price"),
+        "unit_price",
         F.col("quantity_avg").cast("bigint").alias("quantity"),
         F.col("quantity_min").cast("bigint").alias("quantity_min"),
         F.col("quantity_max").cast("bigint").alias("quantity_max"),
-        round6("sales").alias("predicted_sales"),
-        round6("optimal_unit_price").alias("optimal_unit_price"),
-        round6("max_predicted_sales").alias("max_predicted_sales"),
+        F.col("sales").alias("predicted_sales"),
+        "optimal_unit_price",
+        "max_predicted_sales",
     )
 
 

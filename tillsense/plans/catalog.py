@@ -28,11 +28,11 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
-def round_doubles(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE output column to 6 decimals (value-hash stability
-    across engines); see ``round6``."""
+def round_doubles(df: DataFrame, decimals: dict[str, int] | None = None) -> DataFrame:
+    """Round every DOUBLE output column of a check to 6 decimals, or to those
+    declared for it (value-hash stability across engines); see ``round6``."""
     exprs = {
-        f.name: round6(f.name)
+        f.name: round6(f.name, (decimals or {}).get(f.name, 6))
         for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType))
     }

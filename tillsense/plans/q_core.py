@@ -596,7 +596,7 @@ def _pricing_parts(spark, sf_dir):
     ),
 )
 def q_price_recommendation(spark, sf_dir):
-    return PR.price_recommendation(stored_features(spark, sf_dir))
+    return round_doubles(PR.price_recommendation(stored_features(spark, sf_dir)))
 
 
 @register("price_bounds", sel(_PRICING, ["stockcode", "price_lo", "price_hi"], "bounds", ["price_lo", "price_hi"]))

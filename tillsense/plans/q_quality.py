@@ -22,6 +22,8 @@ NUM_COLS = [
     "invoicedate", "unitprice", "product_avg_quantity_last_month", "product_max_price_all_time",
     "unitprice_vs_max", "unitprice_to_avg", "unitprice_squared", "unitprice_log",
 ]
+# drift leaves out identifiers, the group key and the calendar columns that define the cut
+DRIFT_SKIP = {"invoiceno", "customerid", "stockcode", "invoicedate", "year", "year_month"}
 CAT_COLS = ["invoiceno", "stockcode", "customerid", "country", "year", "year_month", "day_of_week", "is_registered"]
 
 # literal weights of the linear scorer used to check attributions in SQL
@@ -404,12 +406,12 @@ def q_mean_abs_attribution(spark, sf_dir):
     "rank_features",
     with_ctes(
         FEATURES + _ATTR_SQL,
-        f"SELECT feature_name, {q6('avg(abs(shap_value))')} AS mean_abs_shap FROM attr_long GROUP BY feature_name ORDER BY avg(abs(shap_value)) DESC, feature_name LIMIT 3",
+        f"SELECT feature_name, {q6('avg(abs(shap_value))')} AS mean_abs_shap FROM attr_long GROUP BY feature_name ORDER BY avg(abs(shap_value)) DESC, feature_name",
     ),
 )
 def q_rank_features(spark, sf_dir):
     long = QU.align_attributions(_attributions(spark, sf_dir), _AF, [*ORDER_KEYS, "stockcode"])
-    return round_doubles(QU.rank_features(QU.mean_abs_attribution(long), k=3))
+    return round_doubles(QU.rank_features(QU.mean_abs_attribution(long)))
 
 
 # metric history: one record per (product, year) of the inference rows; newest per product
@@ -441,6 +443,10 @@ def q_latest_metrics(spark, sf_dir):
 
 
 # ================================================================ L: drift
+DRIFT_NUM = [c for c in NUM_COLS if c not in DRIFT_SKIP]
+DRIFT_CAT = [c for c in CAT_COLS if c not in DRIFT_SKIP]
+
+
 def _drift_sides(spark, sf_dir):
     f = stored_features(spark, sf_dir)
     return f.where(F.col("invoicedate") < DRIFT_CUTOFF), f.where(F.col("invoicedate") >= DRIFT_CUTOFF)
@@ -457,7 +463,7 @@ dref AS (SELECT * FROM features WHERE invoicedate < {DRIFT_CUTOFF}),
 dcur AS (SELECT * FROM features WHERE invoicedate >= {DRIFT_CUTOFF}),
 ncounts AS (
   SELECT stockcode, column_name, value, CAST(sum(c_ref) AS BIGINT) AS c_ref, CAST(sum(c_cur) AS BIGINT) AS c_cur FROM (
-    {_unpivot_sql('dref', NUM_COLS, 'DOUBLE', True)} UNION ALL {_unpivot_sql('dcur', NUM_COLS, 'DOUBLE', False)}
+    {_unpivot_sql('dref', DRIFT_NUM, 'DOUBLE', True)} UNION ALL {_unpivot_sql('dcur', DRIFT_NUM, 'DOUBLE', False)}
   ) WHERE NOT isnan(value) GROUP BY stockcode, column_name, value
 ),
 cdf AS (
@@ -478,7 +484,7 @@ steps AS (
   LEFT JOIN cdf2 b ON a.stockcode = b.stockcode AND a.column_name = b.column_name AND b.rank = a.rank + 1
 ),
 refstd AS (
-  SELECT stockcode, column_name, stddev_pop(value) AS ref_std FROM ({_unpivot_sql('dref', NUM_COLS, 'DOUBLE', True)})
+  SELECT stockcode, column_name, stddev_pop(value) AS ref_std FROM ({_unpivot_sql('dref', DRIFT_NUM, 'DOUBLE', True)})
   WHERE NOT isnan(value) GROUP BY stockcode, column_name
 ),
 w1 AS (
@@ -494,12 +500,12 @@ w2 AS (
 w3 AS (SELECT *, w1_norm >= {DR.WASSERSTEIN_THRESHOLD} AS w1_drift FROM w2),
 ccounts AS (
   SELECT stockcode, column_name, value, CAST(sum(c_ref) AS BIGINT) AS c_ref, CAST(sum(c_cur) AS BIGINT) AS c_cur FROM (
-    {_unpivot_sql('dref', CAT_COLS, 'VARCHAR', True)} UNION ALL {_unpivot_sql('dcur', CAT_COLS, 'VARCHAR', False)}
+    {_unpivot_sql('dref', DRIFT_CAT, 'VARCHAR', True)} UNION ALL {_unpivot_sql('dcur', DRIFT_CAT, 'VARCHAR', False)}
   ) GROUP BY stockcode, column_name, value
 ),
 ctot AS (SELECT stockcode, column_name, CAST(sum(c_ref) AS BIGINT) AS n_ref, CAST(sum(c_cur) AS BIGINT) AS n_cur FROM ccounts GROUP BY stockcode, column_name),
 cshares AS (
-  SELECT c.stockcode, c.column_name, c.c_ref / t.n_ref AS p, c.c_cur / t.n_cur AS q, t.n_ref, t.n_cur
+  SELECT c.stockcode, c.column_name, c.c_ref, c.c_cur, c.c_ref / t.n_ref AS p, c.c_cur / t.n_cur AS q, t.n_ref, t.n_cur
   FROM ccounts c JOIN ctot t ON c.stockcode = t.stockcode AND c.column_name = t.column_name
   WHERE t.n_ref > 0 AND t.n_cur > 0
 ),
@@ -507,19 +513,22 @@ js AS (
   SELECT stockcode, column_name,
          sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0.0 END
                         + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0.0 END) / 2, 0.0)) AS js_distance,
-         max(n_ref) AS n_ref, max(n_cur) AS n_cur
+         max(n_ref) AS n_ref, max(n_cur) AS n_cur, count(*) - 1 AS df,
+         greatest((max(n_ref) + max(n_cur)) * (sum(c_ref * c_ref / (n_ref * (c_ref + c_cur)) + c_cur * c_cur / (n_cur * (c_ref + c_cur))) - 1), 0.0) AS chi2
   FROM cshares GROUP BY stockcode, column_name
 ),
-js2 AS (SELECT *, js_distance >= {DR.JS_THRESHOLD} AS js_drift FROM js),
+js2 AS (
+  SELECT *, js_distance >= {DR.JS_THRESHOLD} AS js_drift,
+         CASE WHEN df > 0 THEN chi2 > df * pow(1 - 2.0 / (df * 9) + {DR.CHI2_Z} * sqrt(2.0 / (df * 9)), 3) ELSE false END AS chi2_drift
+  FROM js
+),
 dcols AS (
   SELECT k.stockcode, k.column_name, 'numeric' AS role,
-         CASE WHEN k.n_ref <= {DR.KS_MAX_ROWS} THEN 'ks' ELSE 'wasserstein' END AS test,
-         CASE WHEN k.n_ref <= {DR.KS_MAX_ROWS} THEN k.ks_stat ELSE w.w1_norm END AS statistic,
-         coalesce(CASE WHEN k.n_ref <= {DR.KS_MAX_ROWS} THEN k.ks_drift ELSE w.w1_drift END, false) AS drifted
+         'ks' AS test, k.ks_stat AS statistic, w.w1_norm AS other_statistic, coalesce(k.ks_drift, false) AS drifted
   FROM ks2 k JOIN w3 w ON k.stockcode = w.stockcode AND k.column_name = w.column_name
   WHERE k.n_ref > 0 AND k.n_cur > 0
   UNION ALL
-  SELECT stockcode, column_name, 'categorical', 'jensenshannon', js_distance, coalesce(js_drift, false) FROM js2
+  SELECT stockcode, column_name, 'categorical', 'chi2', chi2, js_distance, coalesce(chi2_drift, false) FROM js2
 ),
 dsum AS (
   SELECT stockcode, CAST(count_if(drifted) AS BIGINT) AS num_drifts, count(*) AS n_columns FROM dcols GROUP BY stockcode
@@ -532,38 +541,39 @@ dsum AS (
 )
 def q_drift_numeric_ks(spark, sf_dir):
     ref, cur = _drift_sides(spark, sf_dir)
-    return round_doubles(DR.drift_numeric_ks(ref, cur, NUM_COLS))
+    return round_doubles(DR.drift_numeric_ks(ref, cur, DRIFT_NUM))
 
 
 @register(
     "drift_numeric_wasserstein",
-    with_ctes(FEATURES + _DRIFT_SQL, f"SELECT stockcode, column_name, {q6('w1')} AS w1, n_ref, n_cur, {q6('ref_std')} AS ref_std, {q6('w1_norm')} AS w1_norm, w1_drift FROM w3"),
+    with_ctes(FEATURES + _DRIFT_SQL, f"SELECT stockcode, column_name, {q6('w1', 0)} AS w1, n_ref, n_cur, {q6('ref_std', 0)} AS ref_std, {q6('w1_norm')} AS w1_norm, w1_drift FROM w3"),
 )
 def q_drift_numeric_wasserstein(spark, sf_dir):
     ref, cur = _drift_sides(spark, sf_dir)
-    return round_doubles(DR.drift_numeric_wasserstein(ref, cur, NUM_COLS))
+    # raw distances are in squared prices, up to 1e10: whole numbers; the normed one has all decimals
+    return round_doubles(DR.drift_numeric_wasserstein(ref, cur, DRIFT_NUM), {"w1": 0, "ref_std": 0})
 
 
 @register(
     "drift_categorical_js",
-    with_ctes(FEATURES + _DRIFT_SQL, f"SELECT stockcode, column_name, {q6('js_distance')} AS js_distance, n_ref, n_cur, js_drift FROM js2"),
+    with_ctes(FEATURES + _DRIFT_SQL, f"SELECT stockcode, column_name, {q6('js_distance')} AS js_distance, n_ref, n_cur, js_drift, {q6('chi2')} AS chi2, chi2_drift FROM js2"),
 )
 def q_drift_categorical_js(spark, sf_dir):
     ref, cur = _drift_sides(spark, sf_dir)
-    return round_doubles(DR.drift_categorical_js(ref, cur, CAT_COLS))
+    return round_doubles(DR.drift_categorical_js(ref, cur, DRIFT_CAT))
 
 
 _SUMMARY_SEL = (
     "SELECT stockcode, num_drifts > 0 AS drift_detected, num_drifts, "
     + q6("num_drifts / n_columns")
-    + f" AS shared_drifts, n_columns, '{','.join(NUM_COLS)}' AS num_cols, '{','.join(CAT_COLS)}' AS cat_cols FROM dsum"
+    + f" AS shared_drifts, n_columns, '{','.join(DRIFT_NUM)}' AS num_cols, '{','.join(DRIFT_CAT)}' AS cat_cols FROM dsum"
 )
 
 
 def _summary(spark, sf_dir):
     ref, cur = _drift_sides(spark, sf_dir)
-    cols = DR.drift_columns(ref, cur, NUM_COLS, CAT_COLS)
-    return DR.drift_summary(cols, NUM_COLS, CAT_COLS)
+    cols = DR.drift_columns(ref, cur, DRIFT_NUM, DRIFT_CAT)
+    return DR.drift_summary(cols, DRIFT_NUM, DRIFT_CAT)
 
 
 @register("drift_summary", with_ctes(FEATURES + _DRIFT_SQL, _SUMMARY_SEL))
@@ -571,10 +581,10 @@ def q_drift_summary(spark, sf_dir):
     return round_doubles(_summary(spark, sf_dir))
 
 
-@register("drift_report", with_ctes(FEATURES + _DRIFT_SQL, f"SELECT stockcode, column_name, role, test, {q6('statistic')} AS statistic, drifted FROM dcols"))
+@register("drift_report", with_ctes(FEATURES + _DRIFT_SQL, f"SELECT stockcode, column_name, role, test, {q6('statistic')} AS statistic, {q6('other_statistic')} AS other_statistic, drifted FROM dcols"))
 def q_drift_report(spark, sf_dir):
     ref, cur = _drift_sides(spark, sf_dir)
-    return round_doubles(DR.drift_columns(ref, cur, NUM_COLS, CAT_COLS))
+    return round_doubles(DR.drift_columns(ref, cur, DRIFT_NUM, DRIFT_CAT))
 
 
 @register("drift_gate", with_ctes(FEATURES + _DRIFT_SQL, f"SELECT stockcode, num_drifts FROM dsum WHERE num_drifts > 0"))

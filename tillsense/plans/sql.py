@@ -7,11 +7,10 @@ DataFrame plans; the driver runs them on the same Parquet tables.
 from __future__ import annotations
 
 
-def q6(expr: str) -> str:
-    """SQL twin of ``round6`` (same ladder of scales)."""
-    ladder = [(1e3, "1e6"), (1e6, "1e3"), (1e9, "1.0"), (1e12, "1e-3")]
-    whens = " ".join(f"WHEN abs({expr}) < {bound:.0f} THEN floor(({expr}) * {s} + 0.5) / {s}" for bound, s in ladder)
-    return f"(CASE WHEN ({expr}) IS NULL OR isnan({expr}) OR isinf({expr}) THEN ({expr}) {whens} ELSE ({expr}) END)"
+def q6(expr: str, decimals: int = 6) -> str:
+    """SQL twin of ``round6``."""
+    scale = f"1e{decimals}"
+    return f"(CASE WHEN abs({expr}) < {2.0**33:.0f} THEN floor(({expr}) * {scale} + 0.5) / {scale} ELSE ({expr}) END)"
 
 
 ORDER_KEYS_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
