@@ -1,14 +1,19 @@
 """Sinks and snapshot sources on small frames written under the session's
 checkpoint folder."""
 
+import os
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import raw_frame
 from tillsense.operators import drift as DR
+from tillsense.operators import features as FE
 from tillsense.operators import quality as QU
+from tillsense.plans.catalog import round_doubles
 from tillsense.sources import sinks as SK
+from tillsense.sources.retail import scan_transactions
 from tillsense.sources.tables import drop_session_tables, materialize, session_cache, table_path
 
 
@@ -107,3 +112,39 @@ def test_cluster_session_without_checkpoint_dir_is_refused():
     assert set_dirs == []
     assert checkpoint_dir(ctx("yarn", "hdfs:///shared/ckpt")) == "hdfs:///shared/ckpt"
     assert set_dirs == ["hdfs:///shared/ckpt"]
+
+
+def test_latest_of_flat_files_and_partitioned_folders(spark, tmp_path):
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    (flat / "sales_2024.csv").write_text("k,v\n1,old\n")
+    (flat / "sales_2025.csv").write_text("k,v\n2,new\n3,new\n")
+    os.utime(flat / "sales_2025.csv", (1, 1))
+    assert sorted(r.k for r in SK.scan_latest_file(spark, str(flat), "csv").collect()) == ["2", "3"]
+    assert [r.k for r in SK.scan_latest_modified(spark, str(flat), "csv").collect()] == ["1"]
+    base = str(tmp_path / "snaps")
+    for name, n in (("s1", 3), ("s2", 5)):
+        spark.range(n).withColumn("part", F.col("id") % 2).write.partitionBy("part").parquet(f"{base}/{name}")
+    assert sorted(r.id for r in SK.scan_latest_file(spark, base).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_csv_scan_takes_both_date_styles_and_no_nan(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(
+        "invoiceno,stockcode,description,quantity,invoicedate,unitprice,customerid,country\n"
+        "1,a,x,2,12/1/2010 8:26,2.5,17850.0,UK\n2,a,x,nan,2010-12-02 09:00:00,NaN,nan,UK\n3,a,x,bad,never,bad,C7,\n"
+    )
+    got = [tuple(r) for r in scan_transactions(spark, str(path)).select("quantity", F.col("invoicedate").cast("string"), "unitprice", "customerid", "country").collect()]
+    assert got[0] == (2.0, "2010-12-01 08:26:00", 2.5, "17850", "UK")
+    assert got[1][:3] == (None, "2010-12-02 09:00:00", None)
+    assert got[2] == (None, None, None, "C7", None)
+    f = FE.phase1(scan_transactions(spark, str(path)))
+    assert [r.m for r in f.select(F.col("product_max_price_all_time").alias("m")).collect()] == [2.5] * 3
+
+
+def test_features_of_a_union_and_of_dates_after_2001(spark):
+    a = raw_frame(spark, [("1", "p", 1.0, "2010-12-01T08:26:47", 2.0, "c", "a")])
+    b = raw_frame(spark, [("2", "p", 3.0, "2011-01-05T10:00:13", 4.0, "c", "a"), ("3", "q", 1.0, "2011-01-06T00:00:01", None, None, None)])
+    got = {r.invoiceno: r for r in round_doubles(FE.transactions_features(a.unionByName(b))).collect()}
+    assert got["1"].invoicedate == 1291192007.0 and got["2"].invoicedate == 1294221613.0
+    assert got["3"].unitprice == 3.0 and got["2"].product_avg_quantity_last_month == 1.0

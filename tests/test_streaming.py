@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from conftest import SF0001, raw_frame
 from tillsense.operators import features as FE
 from tillsense.plans.catalog import round_doubles
 from tillsense.plans.q_core import FEATURE_OUT
@@ -27,4 +27,35 @@ def test_refresh_in_several_batches(spark):
     assert got.count() == exp.count()
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
     # three batches were recorded in the history, plus the bootstrap
-    assert sorted(r.batch_id for r in spark.read.parquet(f"{base}/history").select("batch_id").distinct().collect()) == [-1, 0, 1, 2]
+    keys = [r.batch_key for r in spark.read.parquet(f"{base}/history").select("batch_key").distinct().collect()]
+    assert len(keys) == 4 and "bootstrap" in keys
+    # a stream that starts anew meets recorded files only: nothing changes
+    RF.incremental_refresh(spark, f"{base}/incoming", raw.schema, f"{base}/history", f"{base}/features", f"{base}/_state2")
+    assert spark.read.parquet(f"{base}/history").count() == raw.count()
+    again = round_doubles(spark.read.parquet(path).select(*FEATURE_OUT))
+    assert again.count() == exp.count() and again.exceptAll(exp).count() == 0
+
+
+def _rows(spark, *rows):
+    return raw_frame(spark, [(i, p, 1.0, f"2020-0{m}-01", price, "c", "a") for i, p, m, price in rows])
+
+
+def _table(df):
+    return sorted(round_doubles(df.select("invoiceno", "stockcode", "unitprice", "unitprice_vs_max", "product_avg_quantity_last_month")).collect())
+
+
+def test_restarted_stream_keeps_batches_and_global_price_follows(spark):
+    """A product without a price of its own follows the global median, and a
+    second run that counts from batch 0 again keeps the first run's rows."""
+    old = _rows(spark, ("1", "p", 1, 9.0), ("2", "q", 1, None), ("3", "p", 2, 9.0))
+    one = _rows(spark, ("4", "r", 3, 1.0), ("5", "r", 3, 1.0), ("6", "r", 4, 1.0))
+    two = _rows(spark, ("7", "s", 5, 1.0), ("8", "p", 5, 2.0))
+    base = table_path(old, "refresh_restart")
+    RF.bootstrap(spark, old, f"{base}/h", f"{base}/f", buckets=8)
+    assert ("2", "q", 9.0) in [tuple(r)[:3] for r in _table(spark.read.parquet(f"{base}/f"))]
+    RF.refresh_batch(spark, one, 0, f"{base}/h", f"{base}/f", "run1", buckets=8)
+    assert ("2", "q", 1.0) in [tuple(r)[:3] for r in _table(spark.read.parquet(f"{base}/f"))]
+    RF.refresh_batch(spark, two, 0, f"{base}/h", f"{base}/f", "run2", buckets=8)
+    RF.refresh_batch(spark, two, 0, f"{base}/h", f"{base}/f", "run2", buckets=8)  # a retry
+    assert spark.read.parquet(f"{base}/h").count() == 8
+    assert _table(spark.read.parquet(f"{base}/f")) == _table(FE.transactions_features(old.unionByName(one).unionByName(two)))

@@ -146,7 +146,7 @@ def test_j11_flagship_equals_step_by_step_composition(spark):
     for i in range(40):
         rows.append((str(i), "p", float(1 + i % 5), f"2020-0{1 + i % 6}-0{1 + i % 9}", float(2 + (i % 7)), "c", "a"))
         rows.append((str(100 + i), "q", float(3 + i % 2), f"2020-0{1 + i % 3}-1{i % 9}", 4.0, "c", "b"))
-    f = FE.transactions_features(raw_frame(spark, rows), stage=False)
+    f = FE.transactions_features(raw_frame(spark, rows))
     got = sorted(PR.price_recommendation(f, num_price_bins=7).collect())
     stats = PR.price_stats(f)
     grid = PR.price_grid(PR.price_bounds(stats), 7)

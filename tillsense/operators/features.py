@@ -23,6 +23,10 @@ FEATURE_COLUMNS = [
 ]
 
 
+# True where a price is the global median: neither the row nor its product has one.
+GLOBAL_PRICE = "price_is_global"
+
+
 def monthly_product_sales(df: DataFrame, with_max_price: bool = False) -> DataFrame:
     """Per (stockcode, month): total quantity (all-NULL -> 0, trap K26)
     and mean price; NULL keys dropped (trap K6). ``with_max_price`` also
@@ -96,7 +100,8 @@ def join_product_imputation(df: DataFrame, global_median=None) -> DataFrame:
     """Country <- product mode; price <- product median <- global median.
 
     ``global_median`` overrides the table's own median (a refresh of some
-    products passes the median of all rows)."""
+    products passes the median of all rows). ``GLOBAL_PRICE`` marks the rows
+    whose price it is."""
     mode = mode_by(df, ["stockcode"], "country", out="imputed_country")
     med = exact_median(df, "unitprice", ["stockcode"], out="imputed_unitprice")
     # one value for the whole table: a scalar subquery, run once, no join
@@ -109,6 +114,7 @@ def join_product_imputation(df: DataFrame, global_median=None) -> DataFrame:
         {
             "country": F.coalesce(F.col("country"), F.col("imputed_country"), F.lit("unknown")),
             "unitprice": F.coalesce(F.col("unitprice"), F.col("imputed_unitprice"), gmed),
+            GLOBAL_PRICE: F.col("unitprice").isNull() & F.col("imputed_unitprice").isNull(),
         }
     ).drop("imputed_country", "imputed_unitprice")
 
@@ -169,12 +175,10 @@ def phase2_rows(df: DataFrame) -> DataFrame:
     return C.fill_unknown_keys(df)
 
 
-def phase2(df: DataFrame, stage: bool = True, global_median=None) -> DataFrame:
-    df = phase2_rows(df)
-    if stage:
-        # four branches (mode, product median, global median, rows) read this:
-        # write it once instead of re-running the source joins per branch
-        df = materialize(df, "features_pre_imputation")
+def phase2(df: DataFrame, global_median=None) -> DataFrame:
+    # four branches (mode, product median, global median, rows) read this:
+    # write it once instead of re-running the source joins per branch
+    df = materialize(phase2_rows(df), "features_pre_imputation")
     df = join_product_imputation(df, global_median)
     return C.log_target(df)
 
@@ -186,11 +190,9 @@ def imputation_rows_price(raw: DataFrame) -> DataFrame:
     return C.positive_quantity(df).select("unitprice")
 
 
-def transactions_features(raw: DataFrame, stage: bool = True, global_median=None) -> DataFrame:
-    """The full feature table T2 (plus any lineage columns of ``raw``).
-
-    ``stage=False`` keeps the whole table one lazy plan (small inputs,
-    streaming micro-batches)."""
-    df = phase2(phase1(raw), stage, global_median)
+def transactions_features(raw: DataFrame, global_median=None, price_source: bool = False) -> DataFrame:
+    """The full feature table T2 (plus any lineage columns of ``raw``);
+    with ``price_source`` also ``GLOBAL_PRICE``."""
+    df = phase2(phase1(raw), global_median)
     extra = [c for c in raw.columns if c not in FEATURE_COLUMNS and c not in ("description",)]
-    return df.select(*FEATURE_COLUMNS, *extra)
+    return df.select(*FEATURE_COLUMNS, *extra, *([GLOBAL_PRICE] if price_source else []))

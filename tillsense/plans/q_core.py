@@ -27,7 +27,7 @@ from tillsense.plans.sql import (
     with_ctes,
 )
 from tillsense.sources.retail import ORDER_KEYS, normalize_columns, read_table, retail_transactions
-from tillsense.sources.tables import materialize, session_cache
+from tillsense.sources.tables import cache_key, materialize, session_cache
 
 RAW_COLS = ["invoiceno", "stockcode", "quantity", "invoicedate", "unitprice", "customerid", "country"] + ORDER_KEYS
 FEATURE_OUT = FE.FEATURE_COLUMNS + ORDER_KEYS
@@ -46,7 +46,7 @@ def stored_features(spark, sf_dir):
     """T2 written once per session and data folder under the checkpoint
     folder and read back by every downstream plan (the reference likewise
     stores its processed table and each stage reads it)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = cache_key(spark, sf_dir)
     if key not in _STORED:
         _STORED[key] = materialize(features_of(spark, sf_dir), "features")
     return _STORED[key]

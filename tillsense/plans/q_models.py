@@ -9,7 +9,7 @@ from tillsense.operators import encoding as EN
 from tillsense.operators import models as MD
 from tillsense.plans.catalog import register
 from tillsense.plans.q_quality import CAT_COLS, NUM_COLS, split_global
-from tillsense.sources.tables import materialize, session_cache, table_path
+from tillsense.sources.tables import cache_key, materialize, session_cache, table_path
 
 _ML_CACHE: dict = session_cache()
 
@@ -17,7 +17,7 @@ _ML_CACHE: dict = session_cache()
 def ml_frame(spark, sf_dir):
     """Encoded matrix of every row with its split, written once per session
     and data folder (the reference likewise stores its processed matrices)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = cache_key(spark, sf_dir)
     if key not in _ML_CACHE:
         s = split_global(spark, sf_dir).withColumn("row_id", F.col("row_id").cast("bigint"))
         m = EN.fit_column_transform(s.where(F.col("split") == "train"), NUM_COLS, CAT_COLS, order_col="row_id")

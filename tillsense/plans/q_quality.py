@@ -13,7 +13,7 @@ from tillsense.plans.catalog import register, round_doubles
 from tillsense.plans.q_core import OK, stored_features
 from tillsense.plans.sql import FEATURES, RETAIL, TOTAL_ORDER_SQL, q6, with_ctes
 from tillsense.sources.retail import ORDER_KEYS, retail_transactions
-from tillsense.sources.tables import materialize, session_cache
+from tillsense.sources.tables import cache_key, materialize, session_cache
 
 TEST_FRACTION = 0.1  # global split: 10 % test, then 10 % of the rest for validation
 DRIFT_CUTOFF = 899251200.0  # 1998-07-01 00:00:00 UTC: reference rows before, current rows after
@@ -76,7 +76,7 @@ _SPLITS: dict = session_cache()
 def _stored_split(spark, sf_dir, kind):
     """Split tables are written once per session and data folder (the
     reference writes its split tables too); fits and scores read them."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    key = (*cache_key(spark, sf_dir), kind)
     if key not in _SPLITS:
         f = stored_features(spark, sf_dir)
         if kind == "global":

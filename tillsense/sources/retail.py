@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillsense.functions.exprs import nan_to_null
+
+# Date texts of the named data set, tried in order after ISO timestamps.
+DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy-MM-dd H:mm")
+
 # Lineage columns of the retail view. They give every row a total order
 # (the reference relies on file row order, which Spark does not keep).
 ORDER_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -43,8 +48,9 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def scan_transactions(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A1: header CSV scan with a declared schema, then typed columns.
 
-    Bad numbers and dates become NULL (``try_cast`` / ``try_to_timestamp``)
-    instead of failing the job under ANSI mode (trap K4).
+    Bad numbers, NaN and bad dates become NULL (``try_cast`` /
+    ``try_to_timestamp``) instead of failing the job under ANSI mode (traps K4,
+    K21); dates may be ISO or any of ``DATE_FORMATS``.
     """
     raw = (
         spark.read.schema(schema or RAW_SCHEMA)
@@ -55,28 +61,30 @@ def scan_transactions(spark: SparkSession, path: str, schema: T.StructType | Non
     df = normalize_columns(raw)
     out = df
     if "quantity" in df.columns:
-        out = out.withColumn("quantity", F.col("quantity").try_cast("double"))
+        out = out.withColumn("quantity", nan_to_null(F.col("quantity").try_cast("double")))
     if "unitprice" in df.columns:
-        out = out.withColumn("unitprice", F.col("unitprice").try_cast("double"))
+        out = out.withColumn("unitprice", nan_to_null(F.col("unitprice").try_cast("double")))
     if "customerid" in df.columns:
         # float ids such as '17850.0' -> '17850' (trap K5)
         out = out.withColumn(
             "customerid",
             F.coalesce(
-                F.col("customerid").try_cast("double").try_cast("bigint").cast("string"),
+                nan_to_null(F.col("customerid").try_cast("double")).try_cast("bigint").cast("string"),
                 F.col("customerid"),
             ),
         )
     if "invoicedate" in df.columns:
-        out = out.withColumn("invoicedate", F.try_to_timestamp(F.col("invoicedate")).cast("timestamp_ntz"))
+        tried = [F.try_to_timestamp("invoicedate"), *[F.try_to_timestamp("invoicedate", F.lit(f)) for f in DATE_FORMATS]]
+        out = out.withColumn("invoicedate", F.coalesce(*tried).cast("timestamp_ntz"))
     return out
 
 
 def retail_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail view T1 over the driver tables (FIXTURES.md §3).
 
-    lineitem ⋈ orders ⋈ customer ⋈ nation. The two big sides join on the
-    order key with a sort-merge join; customer and nation are left to AQE,
+    lineitem ⋈ orders ⋈ customer ⋈ nation. The two big sides shuffle on the
+    order key and join by a sort-merge join, which may spill and whose skewed
+    partitions AQE splits; customer and nation are left to AQE,
     which broadcasts them only when their measured size is below the
     broadcast threshold.
     """
@@ -87,11 +95,8 @@ def retail_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # lineitem x orders is a fact-to-fact join: at scale neither side fits a
-    # broadcast, so the plan says so (shuffle on the order key, hash build on
-    # the smaller orders side) instead of depending on a size estimate
     j = (
-        li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
+        li.join(o, li.l_orderkey == o.o_orderkey)
         .join(c, o.o_custkey == c.c_custkey)
         .join(n, c.c_nationkey == n.n_nationkey)
     )
@@ -112,7 +117,7 @@ def retail_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("quantity"),
         F.col("o_orderdate").alias("invoicedate"),
         F.when(F.col("l_suppkey") % 50 == 0, F.lit(None).cast("double"))
-        .otherwise(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")))
+        .otherwise(nan_to_null(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))))
         .alias("unitprice"),
         F.when(F.col("o_custkey") % 10 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("o_custkey").cast("string"))

@@ -27,6 +27,16 @@ def session_cache() -> dict:
     return d
 
 
+def cache_key(spark, folder: str) -> tuple:
+    """Key of what is stored for an input folder: it changes with the folder's
+    number of files, their total size or its modification time."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(path)
+    return sc.applicationId, folder, total.getFileCount(), total.getLength(), fs.getFileStatus(path).getModificationTime()
+
+
 def session_tables_root(spark) -> str:
     """All tables one application stores live under one folder, so they can
     be removed together."""
