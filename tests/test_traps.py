@@ -150,7 +150,7 @@ def test_j11_flagship_equals_step_by_step_composition(spark):
     got = sorted(PR.price_recommendation(f, num_price_bins=7).collect())
     stats = PR.price_stats(f)
     grid = PR.price_grid(PR.price_bounds(stats), 7)
-    curve = PR.price_curve(PR.score_grid(grid, PR.demand_model_by_product(f)))
+    curve = PR.price_curve(PR.score_grid(grid, PR.demand_plane_by_product(f), PR.product_sample(f)))
     best = PR.optimal_price(curve)
     ref = curve.join(best, "stockcode").select(
         "stockcode",

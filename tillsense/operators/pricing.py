@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillsense.functions.exprs import demand_units, is_nonfinite, linspace_point
 from tillsense.operators.ranking import exact_median
+from tillsense.operators.splits import total_order
 
 # Fixed values of the pricing request (defaults of the reference endpoint).
 DEFAULT_MIN_PRICE = 2.0
@@ -20,6 +21,8 @@ LOW_PRICE_CUTOFF = 0.1
 DEFAULT_PRICE_BINS = 100
 SAMPLE_SIZE = 1200
 SAMPLE_SEED = 42
+SAMPLE_PER_PRODUCT = 16  # feature rows of each product that the all-products job scores
+PLANE_EPS = 1e-6  # below it a variance, or the share of it that is not collinear, counts as none
 
 
 def price_stats(features: DataFrame) -> DataFrame:
@@ -102,6 +105,61 @@ def demand_model_by_product(features: DataFrame, y: str = "quantity", x: str = "
     )
 
 
+def momentum(c="product_avg_quantity_last_month"):
+    """The row feature beside the price: log1p of last month's sales (returns count as none)."""
+    return F.log1p(F.greatest(F.col(c), F.lit(0.0)))
+
+
+def demand_plane_by_product(features: DataFrame) -> DataFrame:
+    """The flagship's demand model, log1p(q) = a + b*log1p(p) + c*momentum, per
+    product and overall, by least squares from one aggregate (variances and
+    covariances, combined map-side). Where price and momentum are collinear the
+    line on the price alone is used; without a usable line the slope is NULL."""
+    x = F.col("unitprice_log")
+    y, m = F.when(x.isNotNull(), F.col("quantity")), F.when(x.isNotNull(), momentum())
+    sums = [
+        F.count(x).alias("n"), F.avg(x).alias("mx"), F.avg(m).alias("mm"), F.avg(y).alias("my"),
+        F.var_pop(x).alias("sxx"), F.var_pop(m).alias("smm"),
+        F.covar_pop(x, m).alias("sxm"), F.covar_pop(x, y).alias("sxy"), F.covar_pop(m, y).alias("smy"),
+    ]
+    det = F.col("sxx") * F.col("smm") - F.col("sxm") * F.col("sxm")
+    plane = (F.col("n") >= 3) & (F.col("sxx") > PLANE_EPS) & (F.col("smm") > PLANE_EPS) & (det > PLANE_EPS * F.col("sxx") * F.col("smm"))
+    line = (F.col("n") >= 2) & (F.col("sxx") > PLANE_EPS)
+    slope = F.when(plane, (F.col("sxy") * F.col("smm") - F.col("smy") * F.col("sxm")) / det).when(line, F.col("sxy") / F.col("sxx"))
+    weight = F.when(plane, (F.col("smy") * F.col("sxx") - F.col("sxy") * F.col("sxm")) / det).when(line, F.lit(0.0))
+
+    def fitted(df):
+        df = df.withColumn("slope", slope).withColumn("momentum_weight", weight)
+        return df.withColumn("intercept", F.col("my") - F.col("slope") * F.col("mx") - F.col("momentum_weight") * F.col("mm"))
+
+    fit = ["slope", "momentum_weight", "intercept"]
+    glob = fitted(features.agg(*sums)).select(F.struct(*fit).alias("g")).scalar()
+    return fitted(features.groupBy("stockcode").agg(*sums)).select("stockcode", *fit, *[glob.getField(c).alias(f"global_{c}") for c in fit])
+
+
+def product_sample(features: DataFrame, rows: int = SAMPLE_PER_PRODUCT, seed: int = SAMPLE_SEED) -> DataFrame:
+    """At most ``rows`` feature rows of each product, by a seeded hash of the
+    invoice: (stockcode, sample_no, momentum). The rank filter is applied in
+    every task before the shuffle, so a hot product sends ``rows`` rows a task."""
+    order = [F.md5(F.concat(F.col("invoiceno"), F.lit(f"|{seed}"))), *[F.col(c).asc_nulls_first() for c in total_order(features)]]
+    ranked = features.withColumn("sample_no", F.row_number().over(Window.partitionBy("stockcode").orderBy(*order)))
+    return ranked.where(F.col("sample_no") <= rows).select("stockcode", "sample_no", momentum().alias("momentum"))
+
+
+def cross_sample_prices(sample: DataFrame, grid: DataFrame) -> DataFrame:
+    """Every sampled row of a product at every grid price of it. An
+    equi-join on the product, so the size is sum over products of (sample rows
+    x bins), never all pairs."""
+    return sample.join(grid, "stockcode")
+
+
+def _predictions(df: DataFrame) -> DataFrame:
+    lx = F.log1p(F.col("unit_price"))
+    def of(g):
+        return F.col(f"{g}intercept") + F.col(f"{g}slope") * lx + F.col(f"{g}momentum_weight") * F.col("momentum")
+    return df.select("stockcode", "bin", "unit_price", "sample_no", of("").alias("y_primary"), of("global_").alias("y_backup"))
+
+
 def score_failover(scored: DataFrame, primary: str = "y_primary", backup: str = "y_backup", group: str = "stockcode") -> DataFrame:
     """When any exp(primary) of a product's batch is Inf or 0 (or the
     primary is missing), the whole batch uses the backup prediction.
@@ -116,27 +174,18 @@ def score_failover(scored: DataFrame, primary: str = "y_primary", backup: str =
     )
 
 
-def score_grid(grid: DataFrame, model: DataFrame) -> DataFrame:
-    """Score the grid with the per-product line (primary) and the overall line
-    (backup), then apply J10."""
-    lx = F.log1p(F.col("unit_price"))
-    g = grid.join(model, "stockcode", "left").select(
-        "stockcode", "bin", "unit_price",
-        (F.col("intercept") + F.col("slope") * lx).alias("y_primary"),
-        (F.col("global_intercept") + F.col("global_slope") * lx).alias("y_backup"),
-    )
-    return score_failover(g)
+def score_grid(grid: DataFrame, model: DataFrame, sample: DataFrame) -> DataFrame:
+    """Score the sampled rows at the grid prices with the product's plane
+    (primary) and the overall one (backup), then apply J10."""
+    return score_failover(_predictions(cross_sample_prices(sample, grid).join(model, "stockcode", "left")))
 
 
 def price_curve(scored: DataFrame) -> DataFrame:
     """By (stockcode, unit_price): mean/min/max units and mean sales."""
-    s = scored.withColumn("q", demand_units("y_pred")).withColumn("sales", F.col("q") * F.col("unit_price"))
-    return s.groupBy("stockcode", "unit_price").agg(
-        F.avg("q").alias("quantity_avg"),
-        F.min("q").alias("quantity_min"),
-        F.max("q").alias("quantity_max"),
-        F.avg("sales").alias("sales"),
-    )
+    units = scored.withColumn("q", demand_units("y_pred")).groupBy("stockcode", "unit_price")
+    curve = units.agg(F.avg("q").alias("quantity_avg"), F.min("q").alias("quantity_min"), F.max("q").alias("quantity_max"))
+    # all rows of a curve point share the price, so mean sales are price x mean units
+    return curve.withColumn("sales", F.col("quantity_avg") * F.col("unit_price"))
 
 
 def optimal_price(curve: DataFrame) -> DataFrame:
@@ -154,31 +203,26 @@ def price_recommendation(
     unitprice_min: float | None = None,
     unitprice_max: float | None = None,
     num_price_bins: int = DEFAULT_PRICE_BINS,
+    sample_rows: int = SAMPLE_PER_PRODUCT,
 ) -> DataFrame:
     """J11 (flagship): T6 price curves and optimum for every product.
 
-    features -> price stats -> bounds -> grid -> per-product demand line with
-    overall fallback -> failover -> units/sales -> curve -> optimum.
-    With a price-only demand model every sampled row of a grid point gets the
-    same prediction, so the grid is scored once per product (mean = min = max
-    as in the sampled version).
+    features -> price stats -> bounds -> per-product demand plane with overall
+    fallback -> sampled rows x grid -> failover -> units/sales -> curve
+    (mean, min and max over the sampled rows) -> optimum.
     """
     stats = price_stats(features)
     bounds = price_bounds(stats, unitprice_min, unitprice_max)
-    model = demand_model_by_product(features)
-    # Product-level join first (one row per product on both sides), then the
-    # grid is generated from it: the grid keeps that table's partitioning on
-    # stockcode, and every later step (failover flag, curve, optimum) holds
-    # at most ``num_price_bins`` rows per product, so windows over stockcode
-    # are bounded and the grid is never shuffled again.
-    per = bounds.join(model, "stockcode", "left")
-    grid = price_grid(per, num_price_bins, carry=["slope", "intercept", "global_slope", "global_intercept"])
-    lx = F.log1p(F.col("unit_price"))
-    scored = grid.select(
-        "stockcode", "bin", "unit_price",
-        (F.col("intercept") + F.col("slope") * lx).alias("y_primary"),
-        (F.col("global_intercept") + F.col("global_slope") * lx).alias("y_backup"),
-    )
+    model = demand_plane_by_product(features)
+    # Product-level joins first (one row per product on both sides, then at
+    # most ``sample_rows``); the grid is generated from that table and keeps
+    # its partitioning on stockcode, and every later step (failover flag,
+    # curve, optimum) holds at most ``sample_rows * num_price_bins`` rows per
+    # product, so windows over stockcode are bounded and the scored rows are
+    # never shuffled.
+    per = bounds.join(model, "stockcode", "left").join(product_sample(features, sample_rows), "stockcode")
+    fit = [f"{g}{c}" for g in ("", "global_") for c in ("slope", "momentum_weight", "intercept")]
+    scored = _predictions(price_grid(per, num_price_bins, carry=["sample_no", "momentum", *fit]))
     by_product = Window.partitionBy("stockcode")
     bad_row = F.col("y_primary").isNull() | is_nonfinite(F.exp(F.col("y_primary"))) | (F.exp(F.col("y_primary")) == 0.0)
     scored = scored.withColumn(
@@ -222,10 +266,3 @@ def fixed_size_sample(df: DataFrame, key_col: str, n: int = SAMPLE_SIZE, seed: i
     is bounded by ``n``, never by the table.
     """
     return df.orderBy(sample_key(key_col, seed), F.col(key_col)).limit(n)
-
-
-def cross_sample_prices(sample: DataFrame, grid: DataFrame) -> DataFrame:
-    """Every sampled row at every grid price of its product; the grid price
-    replaces the row's own ``unitprice``. An equi-join on the product, so the
-    size is sum over products of (sample rows x bins), never all pairs."""
-    return sample.drop("unitprice").join(grid.select("stockcode", "bin", F.col("unit_price").alias("unitprice")), "stockcode")

@@ -580,8 +580,7 @@ def _pricing_parts(spark, sf_dir):
     f = stored_features(spark, sf_dir)
     stats = PR.price_stats(f)
     grid = PR.price_grid(PR.price_bounds(stats))
-    model = PR.demand_model_by_product(f)
-    return f, grid, model
+    return f, grid, PR.demand_plane_by_product(f), PR.product_sample(f)
 
 
 @register(
@@ -612,7 +611,7 @@ def q_price_bounds_params(spark, sf_dir):
 
 @register("price_grid", sel(_PRICING, ["stockcode", "bin", "unit_price"], "grid", ["unit_price"]))
 def q_price_grid(spark, sf_dir):
-    _, grid, _ = _pricing_parts(spark, sf_dir)
+    _, grid, _, _ = _pricing_parts(spark, sf_dir)
     return round_doubles(grid)
 
 
@@ -625,10 +624,10 @@ def q_demand_model_by_product(spark, sf_dir):
     return round_doubles(PR.demand_model_by_product(stored_features(spark, sf_dir)))
 
 
-@register("score_failover", sel(_PRICING, ["stockcode", "bin", "unit_price", "y_pred", "use_backup"], "scored", ["unit_price", "y_pred"]))
+@register("score_failover", sel(_PRICING, ["stockcode", "bin", "unit_price", "sample_no", "y_pred", "use_backup"], "scored", ["unit_price", "y_pred"]))
 def q_score_failover(spark, sf_dir):
-    _, grid, model = _pricing_parts(spark, sf_dir)
-    return round_doubles(PR.score_grid(grid, model).select("stockcode", "bin", "unit_price", "y_pred", "use_backup"))
+    _, grid, model, sample = _pricing_parts(spark, sf_dir)
+    return round_doubles(PR.score_grid(grid, model, sample).select("stockcode", "bin", "unit_price", "sample_no", "y_pred", "use_backup"))
 
 
 _CURVE_COLS = ["stockcode", "unit_price", "quantity_avg", "quantity_min", "quantity_max", "sales"]
@@ -639,8 +638,8 @@ _CURVE_COLS = ["stockcode", "unit_price", "quantity_avg", "quantity_min", "quant
     with_ctes(_PRICING, f"SELECT stockcode, {q6('unit_price')} AS unit_price, {q6('quantity_avg')} AS quantity_avg, CAST(quantity_min AS BIGINT) AS quantity_min, CAST(quantity_max AS BIGINT) AS quantity_max, {q6('sales')} AS sales FROM curve"),
 )
 def q_price_curve(spark, sf_dir):
-    _, grid, model = _pricing_parts(spark, sf_dir)
-    return round_doubles(PR.price_curve(PR.score_grid(grid, model)))
+    _, grid, model, sample = _pricing_parts(spark, sf_dir)
+    return round_doubles(PR.price_curve(PR.score_grid(grid, model, sample)))
 
 
 @register(
@@ -648,28 +647,27 @@ def q_price_curve(spark, sf_dir):
     with_ctes(_PRICING, f"SELECT stockcode, {q6('unit_price')} AS unit_price, {q6('sales')} AS sales FROM curve ORDER BY stockcode, unit_price"),
 )
 def q_sort_price_curve(spark, sf_dir):
-    _, grid, model = _pricing_parts(spark, sf_dir)
-    return round_doubles(PR.sort_price_curve(PR.price_curve(PR.score_grid(grid, model)).select("stockcode", "unit_price", "sales")))
+    _, grid, model, sample = _pricing_parts(spark, sf_dir)
+    return round_doubles(PR.sort_price_curve(PR.price_curve(PR.score_grid(grid, model, sample)).select("stockcode", "unit_price", "sales")))
 
 
 @register("optimal_price", sel(_PRICING, ["stockcode", "optimal_unit_price", "max_predicted_sales"], "best", ["optimal_unit_price", "max_predicted_sales"]))
 def q_optimal_price(spark, sf_dir):
-    _, grid, model = _pricing_parts(spark, sf_dir)
-    return round_doubles(PR.optimal_price(PR.price_curve(PR.score_grid(grid, model))))
+    _, grid, model, sample = _pricing_parts(spark, sf_dir)
+    return round_doubles(PR.optimal_price(PR.price_curve(PR.score_grid(grid, model, sample))))
 
 
 @register(
     "cross_sample_prices",
     with_ctes(
-        _PRICING + "," + _SAMPLE_SQL,
-        f"SELECT s.row_id, s.stockcode, g.bin, {q6('g.unit_price')} AS unitprice, {q6('s.quantity')} AS quantity "
-        "FROM sample s JOIN grid g ON s.stockcode = g.stockcode",
+        _PRICING,
+        f"SELECT s.stockcode, s.sample_no, g.bin, {q6('g.unit_price')} AS unit_price, {q6('s.momentum')} AS momentum "
+        "FROM psample s JOIN grid g ON s.stockcode = g.stockcode",
     ),
 )
 def q_cross_sample_prices(spark, sf_dir):
-    f, grid, _ = _pricing_parts(spark, sf_dir)
-    sample = PR.fixed_size_sample(_row_ids(f), "row_id").select(F.col("row_id").cast("bigint").alias("row_id"), "stockcode", "unitprice", "quantity")
-    return round_doubles(PR.cross_sample_prices(sample, grid).select("row_id", "stockcode", "bin", "unitprice", "quantity"))
+    _, grid, _, sample = _pricing_parts(spark, sf_dir)
+    return round_doubles(PR.cross_sample_prices(sample, grid).select("stockcode", "sample_no", "bin", "unit_price", "momentum"))
 
 
 # ================================================================ D5-D7, C4: product statistics

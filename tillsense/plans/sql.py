@@ -177,11 +177,36 @@ model AS (
          n_obs, global_slope, global_intercept, NOT (n_obs >= 2 AND sxx > 0) AS uses_global
   FROM fit CROSS JOIN gfit
 ),
+mrows AS (
+  SELECT stockcode, unitprice_log AS x, CASE WHEN unitprice_log IS NOT NULL THEN quantity END AS y,
+         CASE WHEN unitprice_log IS NOT NULL THEN ln(1 + greatest(product_avg_quantity_last_month, 0.0)) END AS m
+  FROM features
+),
+msums AS (
+  SELECT stockcode, @@SUMS@@ FROM mrows GROUP BY stockcode
+  UNION ALL SELECT '**all**', @@SUMS@@ FROM mrows
+),
+mdet AS (SELECT *, sxx * smm - sxm * sxm AS det FROM msums),
+mcase AS (
+  SELECT *, n >= 3 AND sxx > 1e-6 AND smm > 1e-6 AND det > 1e-6 * sxx * smm AS is_plane, n >= 2 AND sxx > 1e-6 AS is_line FROM mdet
+),
+mfit AS (
+  SELECT *, CASE WHEN is_plane THEN (sxy * smm - smy * sxm) / det WHEN is_line THEN sxy / sxx END AS slope,
+         CASE WHEN is_plane THEN (smy * sxx - sxy * sxm) / det WHEN is_line THEN 0.0 END AS mw
+  FROM mcase
+),
+plane AS (SELECT stockcode, slope, mw, my - slope * mx - mw * mm AS intercept FROM mfit),
+psample AS (
+  SELECT stockcode, sample_no, ln(1 + greatest(product_avg_quantity_last_month, 0.0)) AS momentum FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY stockcode ORDER BY md5(invoiceno || '|42'), @@ORDER@@) AS INTEGER) AS sample_no FROM features
+  ) WHERE sample_no <= 16
+),
 scored0 AS (
-  SELECT g.stockcode, g.bin, g.unit_price,
-         m.intercept + m.slope * ln(1 + g.unit_price) AS y_primary,
-         m.global_intercept + m.global_slope * ln(1 + g.unit_price) AS y_backup
-  FROM grid g LEFT JOIN model m ON g.stockcode = m.stockcode
+  SELECT g.stockcode, g.bin, g.unit_price, s.sample_no,
+         p.intercept + p.slope * ln(1 + g.unit_price) + p.mw * s.momentum AS y_primary,
+         o.intercept + o.slope * ln(1 + g.unit_price) + o.mw * s.momentum AS y_backup
+  FROM grid g JOIN psample s ON g.stockcode = s.stockcode
+  LEFT JOIN plane p ON g.stockcode = p.stockcode CROSS JOIN (SELECT * FROM plane WHERE stockcode = '**all**') o
 ),
 flags AS (
   SELECT stockcode, bool_or(y_primary IS NULL OR isinf(exp(y_primary)) OR isnan(exp(y_primary)) OR exp(y_primary) = 0.0) AS use_backup
@@ -196,7 +221,7 @@ units AS (
 ),
 curve AS (
   SELECT stockcode, unit_price, avg(q) AS quantity_avg, min(q) AS quantity_min, max(q) AS quantity_max,
-         avg(q * unit_price) AS sales
+         avg(q) * unit_price AS sales
   FROM units GROUP BY stockcode, unit_price
 ),
 best AS (
@@ -205,7 +230,15 @@ best AS (
 )"""
 
 
-PRICING = PRICING.replace("@@Q6EXP@@", q6("exp(y_pred) * 100.0"))
+PRICING = (
+    PRICING.replace("@@Q6EXP@@", q6("exp(y_pred) * 100.0"))
+    .replace("@@ORDER@@", TOTAL_ORDER_SQL)
+    .replace(
+        "@@SUMS@@",
+        "count(x) AS n, avg(x) AS mx, avg(m) AS mm, avg(y) AS my, var_pop(x) AS sxx, var_pop(m) AS smm, "
+        "covar_pop(x, m) AS sxm, covar_pop(x, y) AS sxy, covar_pop(m, y) AS smy",
+    )
+)
 
 
 def with_ctes(ctes: str, select: str) -> str:
