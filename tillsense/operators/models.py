@@ -1,25 +1,21 @@
 """Demand models with ``pyspark.ml``.
 
-The reference tunes scikit-learn / LightGBM models on one machine. Here the
-same searches run as Spark ML estimators: training is distributed
-(treeAggregate over partitions), cross-validation folds and parameter maps
-run in parallel (``parallelism``), and the data never leaves the cluster.
-Only fitted parameters and per-candidate metrics reach the driver.
+The reference tunes scikit-learn / LightGBM models on one machine. Here models
+are fitted by Spark ML estimators (training is distributed, the data never
+leaves the cluster), and the elastic-net searches run on fold-wise Gram
+matrices (``grams``). Only fitted parameters and metrics reach the driver.
 """
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.operators.quality import regression_metrics
@@ -29,10 +25,6 @@ EN_ALPHAS = [float(x) for x in np.logspace(math.log10(1e-3), math.log10(10.0), n
 EN_L1_RATIOS = [0.1, 0.5, 1.0]
 EN_MAX_ITER = [10000, 50000]
 EN_TOL = [1e-5, 1e-3]
-GBM_LEARNING_RATES = [0.01, 0.05]
-GBM_SUBSAMPLE = [0.8, 1.0]
-GBM_COLSAMPLE = [0.8, 1.0]
-GBM_NUM_LEAVES = [31, 63]
 RANDOM_SEARCH_CALLS = 50
 SEED = 42
 FOLDS = 5
@@ -74,61 +66,34 @@ def boosted_trees(
     return GBTRegressor(**kw)
 
 
-def _param_rows(spark: SparkSession, est, maps, metrics) -> DataFrame:
-    rows = []
-    for i, (pm, m) in enumerate(zip(maps, metrics)):
-        params = {p.name: (v if isinstance(v, (int, float, str, bool)) else str(v)) for p, v in pm.items()}
-        rows.append((i, json.dumps(params, sort_keys=True), float(m)))
-    best = int(np.argmin(metrics)) if len(metrics) else -1
-    df = spark.createDataFrame(rows, "param_index int, params string, mean_mse double")
-    return df.withColumn("is_best", F.col("param_index") == F.lit(best))
-
-
-def kfold_validation(train: DataFrame, estimator, param_maps=None, folds: int = FOLDS, parallelism: int = 4):
-    """Shuffled k-fold CV (seed 42), mean MSE per parameter map. Each fold
-    counts its MSE once (trap K19)."""
-    maps = param_maps or [{}]
-    cv = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="y_pred", metricName="mse"),
-        numFolds=folds, seed=SEED, parallelism=parallelism,
-    )
-    model = cv.fit(train)
-    return model, _param_rows(train.sparkSession, estimator, maps, model.avgMetrics)
-
-
-def elastic_net_grid(est: LinearRegression, full: bool = False):
-    """J7 grid: alpha x l1_ratio (x max_iter x tol with ``full``, the
-    reference's 120-combination grid less the solver-only options)."""
-    b = ParamGridBuilder().addGrid(est.regParam, EN_ALPHAS).addGrid(est.elasticNetParam, EN_L1_RATIOS)
-    if full:
-        b = b.addGrid(est.maxIter, EN_MAX_ITER).addGrid(est.tol, EN_TOL)
-    return b.build()
-
-
-def grid_search(train: DataFrame, estimator, grid, folds: int = FOLDS, parallelism: int = 4):
-    """Every combination of the grid through k-fold CV; the fitted
-    CrossValidatorModel holds the refit of the best combination."""
-    return kfold_validation(train, estimator, grid, folds, parallelism)
+def elastic_net_grid() -> list[dict]:
+    """The whole elastic-net grid, alpha x l1_ratio x max_iter x tol (the
+    reference's 120 combinations less its two solver-only options)."""
+    return [
+        {"alpha": a, "l1_ratio": r, "max_iter": m, "tol": t}
+        for a in EN_ALPHAS for r in EN_L1_RATIOS for m in EN_MAX_ITER for t in EN_TOL
+    ]
 
 
-def random_param_maps(est: LinearRegression, n: int = RANDOM_SEARCH_CALLS, seed: int = SEED):
+def random_param_maps(n: int = RANDOM_SEARCH_CALLS, seed: int = SEED) -> list[dict]:
     """J8 [re-aimed]: ``n`` parameter maps drawn from the reference's ranges
     (alpha log-uniform 1e-4..10, l1_ratio uniform 0.01..1, max_iter integer
-    10000..50000, tol log-uniform 1e-6..1e-2); drawn on the driver (only
-    parameters), evaluated on the cluster."""
+    10000..50000, tol log-uniform 1e-6..1e-2)."""
     rng = np.random.default_rng(seed)
-    maps = []
-    for _ in range(n):
-        maps.append(
-            {
-                est.regParam: float(10 ** rng.uniform(-4, 1)),
-                est.elasticNetParam: float(rng.uniform(0.01, 1.0)),
-                est.maxIter: int(rng.integers(10000, 50001)),
-                est.tol: float(10 ** rng.uniform(-6, -2)),
-            }
-        )
-    return maps
+    return [
+        {
+            "alpha": float(10 ** rng.uniform(-4, 1)),
+            "l1_ratio": float(rng.uniform(0.01, 1.0)),
+            "max_iter": int(rng.integers(10000, 50001)),
+            "tol": float(10 ** rng.uniform(-6, -2)),
+        }
+        for _ in range(n)
+    ]
+
+
+def estimator_of(params: dict) -> LinearRegression:
+    """The Spark estimator of a parameter map of a search."""
+    return elastic_net(params["alpha"], params["l1_ratio"], params["max_iter"], params["tol"])
 
 
 def validation_rmsle(model, val: DataFrame) -> float:

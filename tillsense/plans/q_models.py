@@ -1,16 +1,25 @@
-"""Registered plans: pyspark.ml model fitting and scoring (rows-only checks:
-fitted models are not expressible in SQL)."""
+"""Registered plans: model fitting, searches and scoring. SQL cannot fit the
+models; it checks which rows are scored, their truth, fold sizes and moments,
+the parameter maps, and that fits are optimal and beat the mean predictor."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from tillsense.functions.exprs import is_nonfinite
 from tillsense.operators import encoding as EN
+from tillsense.operators import grams as GR
 from tillsense.operators import models as MD
-from tillsense.plans.catalog import register
-from tillsense.plans.q_quality import CAT_COLS, NUM_COLS, split_global
+from tillsense.plans.catalog import register, round_doubles
+from tillsense.plans.q_quality import CAT_COLS, NUM_COLS, SPLIT_G_SQL, split_global
+from tillsense.plans.sql import FEATURES, q6, with_ctes
 from tillsense.sources.tables import cache_key, materialize, session_cache, table_path
 
+# Boosting rounds of the registered queries, at most: training stops early where
+# a validation column is given. The reference's limit is 2,000.
+TREE_ROUNDS = 30
+
 _ML_CACHE: dict = session_cache()
 
 
@@ -32,77 +41,134 @@ def _parts(spark, sf_dir):
     return mat, cols, mat.where(F.col("split") == "train"), mat.where(F.col("split") == "val"), mat.where(F.col("split") == "test")
 
 
-def _scored(model, test):
-    return model.transform(test).select("row_id", F.col("quantity").alias("y_true"), "y_pred")
+MODEL_COLS = ("row_id", "y_true", "has_prediction", "beats_mean")
+
+
+def _checked(pred, train):
+    """Scored test rows as SQL can check them: the row and its truth, whether it
+    has a finite prediction, and whether the model beats the mean predictor."""
+    mean = train.agg(F.avg("quantity").alias("m")).scalar()
+    err, plain = F.pow(F.col("y_true") - F.col("y_pred"), F.lit(2)), F.pow(F.col("y_true") - mean, F.lit(2))
+    beats = pred.agg((F.avg(err) < F.avg(plain)).alias("b")).scalar()
+    return pred.withColumn("has_prediction", F.col("y_pred").isNotNull() & ~is_nonfinite("y_pred")).withColumn("beats_mean", beats)
+
+
+def _scored(model, test, train):
+    pred = materialize(model.transform(test).select("row_id", F.col("quantity").alias("y_true"), "y_pred"), "ml_scored")
+    return round_doubles(_checked(pred, train).select(*MODEL_COLS))
 
 
-@register("demand_model_elastic_net")
+_TEST_SQL = with_ctes(
+    FEATURES + SPLIT_G_SQL, f"SELECT row_id, {q6('quantity')} AS y_true, true AS has_prediction, true AS beats_mean FROM split_g WHERE split = 'test'"
+)
+
+
+@register("demand_model_elastic_net", _TEST_SQL)
 def q_demand_model_elastic_net(spark, sf_dir):
     _, cols, train, _, test = _parts(spark, sf_dir)
-    return _scored(MD.pipeline(cols, MD.elastic_net(0.01, 0.5)).fit(train), test)
+    return _scored(MD.pipeline(cols, MD.elastic_net(0.01, 0.5)).fit(train), test, train)
 
 
-@register("demand_model_boosted_trees")
+@register("demand_model_boosted_trees", _TEST_SQL)
 def q_demand_model_boosted_trees(spark, sf_dir):
-    mat, cols, _, _, test = _parts(spark, sf_dir)
+    mat, cols, train, _, test = _parts(spark, sf_dir)
     tv = mat.where(F.col("split").isin("train", "val"))
-    est = MD.boosted_trees(step=0.05, max_depth=MD.depth_for_leaves(31), subsample=0.8, colsample="0.8", max_iter=30)
-    return _scored(MD.pipeline(cols, est).fit(tv), test)
+    est = MD.boosted_trees(step=0.05, max_depth=MD.depth_for_leaves(31), subsample=0.8, colsample="0.8", max_iter=TREE_ROUNDS)
+    return _scored(MD.pipeline(cols, est).fit(tv), test, train)
 
 
-@register("kfold_validation")
-def q_kfold_validation(spark, sf_dir):
+def _grams(spark, sf_dir):
     _, cols, train, _, _ = _parts(spark, sf_dir)
-    _, rows = MD.kfold_validation(MD.assembler(cols).transform(train), MD.elastic_net(0.01, 0.5))
-    return rows
+    return GR.fold_grams(train, cols, "quantity", GR.fold_of("row_id", MD.FOLDS, MD.SEED), MD.FOLDS)
+
 
+_FOLD_SQL = f"(row_id * 2654435761 + {MD.SEED}) % 2147483647 % {MD.FOLDS}"
 
-@register("grid_search")
+
+@register(
+    "kfold_validation",
+    with_ctes(
+        FEATURES + SPLIT_G_SQL + f",\nfolds AS (SELECT *, CAST({_FOLD_SQL} AS INTEGER) AS fold FROM split_g WHERE split = 'train')",
+        "SELECT fold, count(*) AS n_rows, "
+        + q6("avg(quantity)")
+        + " AS mean_quantity, "
+        + q6("avg(quantity * quantity)")
+        + " AS mean_square, true AS optimal, true AS beats_mean FROM folds GROUP BY fold",
+    ),
+)
+def q_kfold_validation(spark, sf_dir):
+    """One row per fold: its size and target moments (from the Gram matrices),
+    whether the fit on the other folds is optimal, and beats the mean there."""
+    grams = _grams(spark, sf_dir)
+    total = grams.sum(axis=0)
+    rows = []
+    for k, g in enumerate(grams):
+        rest = total - g
+        fit = GR.fit_elastic_net(rest, 0.01, 0.5, 10000, 1e-5)
+        plain = GR.mse(g, np.concatenate([[-rest[0, -1] / rest[0, 0]], np.zeros(len(fit.weights)), [1.0]]))
+        rows.append((k, int(g[0, 0]), float(g[0, -1] / g[0, 0]), float(g[-1, -1] / g[0, 0]), fit.optimal, GR.mse(g, fit.residual) < plain))
+    out = spark.createDataFrame(rows, "fold int, n_rows long, mean_quantity double, mean_square double, optimal boolean, beats_mean boolean")
+    return round_doubles(out)
+
+
+def _search_frame(spark, rows):
+    """Search results that SQL can check; a map may shrink all weights to 0 and
+    then equals the mean predictor."""
+    out = [(r["param_index"], r["alpha"], r["l1_ratio"], r["max_iter"], r["tol"], r["optimal"], r["mean_mse"] <= r["plain_mse"] * (1 + 1e-9)) for r in rows]
+    return spark.createDataFrame(out, "param_index int, alpha double, l1_ratio double, max_iter int, tol double, optimal boolean, beats_mean boolean")
+
+
+def _search_sql(maps):
+    rows = ", ".join(f"({i}, {m['alpha']!r}::DOUBLE, {m['l1_ratio']!r}::DOUBLE, {m['max_iter']}, {m['tol']!r}::DOUBLE, true, true)" for i, m in enumerate(maps))
+    return f"SELECT * FROM (VALUES {rows}) t(param_index, alpha, l1_ratio, max_iter, tol, optimal, beats_mean)"
+
+
+@register("grid_search", _search_sql(MD.elastic_net_grid()))
 def q_grid_search(spark, sf_dir):
-    _, cols, train, _, _ = _parts(spark, sf_dir)
-    est = MD.elastic_net()
-    _, rows = MD.grid_search(MD.assembler(cols).transform(train), est, MD.elastic_net_grid(est))
-    return rows
+    return _search_frame(spark, GR.search(_grams(spark, sf_dir), MD.elastic_net_grid()))
 
 
-@register("random_search")
+@register("random_search", _search_sql(MD.random_param_maps()))
 def q_random_search(spark, sf_dir):
-    _, cols, train, _, _ = _parts(spark, sf_dir)
-    est = MD.elastic_net()
-    _, rows = MD.kfold_validation(MD.assembler(cols).transform(train), est, MD.random_param_maps(est, n=10))
-    return rows
+    return _search_frame(spark, GR.search(_grams(spark, sf_dir), MD.random_param_maps()))
 
 
 def _best_refit(spark, sf_dir):
+    """The winners of both searches and the boosted trees meet on the
+    validation rows; the best one is fitted again on train and val."""
     mat, cols, train, val, test = _parts(spark, sf_dir)
     tv = mat.where(F.col("split").isin("train", "val"))
+    grams = _grams(spark, sf_dir)
+    winner = lambda maps: MD.estimator_of(next(r for r in GR.search(grams, maps) if r["is_best"]))
     candidates = {
-        "elastic_net": MD.pipeline(cols, MD.elastic_net(0.01, 0.5)),
-        "boosted_trees": MD.pipeline(cols, MD.boosted_trees(max_iter=30, validation_col=None)),
+        "grid_search": MD.pipeline(cols, winner(MD.elastic_net_grid())),
+        "random_search": MD.pipeline(cols, winner(MD.random_param_maps())),
+        "boosted_trees": MD.pipeline(cols, MD.boosted_trees(max_iter=TREE_ROUNDS, validation_col=None)),
     }
     best, scores, model = MD.select_best_refit(candidates, train, val, tv)
-    return best, scores, model, test
+    return best, scores, model, train, test
 
 
-@register("select_best_refit")
+@register("select_best_refit", _TEST_SQL.replace("true AS beats_mean", "true AS beats_mean, true AS has_least_error"))
 def q_select_best_refit(spark, sf_dir):
-    best, scores, model, test = _best_refit(spark, sf_dir)
-    return _scored(model, test).withColumn("model_name", F.lit(best))
+    best, scores, model, train, test = _best_refit(spark, sf_dir)
+    return _scored(model, test, train).withColumn("has_least_error", F.lit(scores[best] == min(scores.values())))
 
 
-@register("batch_inference")
+@register("batch_inference", _TEST_SQL.replace("SELECT row_id,", "SELECT row_id, is_registered,"))
 def q_batch_inference(spark, sf_dir):
     from pyspark.ml import PipelineModel
 
-    _, _, model, test = _best_refit(spark, sf_dir)
+    _, _, model, train, test = _best_refit(spark, sf_dir)
     path = MD.save_pipeline(model, table_path(test, "demand_model"))
-    return MD.batch_inference(PipelineModel.load(path), test, ["row_id"])
+    pred = materialize(MD.batch_inference(PipelineModel.load(path), test, ["row_id"]), "ml_scored")
+    return round_doubles(_checked(pred, train).select(*MODEL_COLS, "is_registered"))
 
 
-@register("warm_refresh")
+@register("warm_refresh", _TEST_SQL)
 def q_warm_refresh(spark, sf_dir):
     mat, cols, train, _, test = _parts(spark, sf_dir)
     first = MD.pipeline(cols, MD.elastic_net(0.01, 0.5)).fit(train)
     path = MD.save_pipeline(first, table_path(train, "demand_model"))
     refreshed = MD.warm_refresh(path, mat.where(F.col("split").isin("train", "val")))
-    return _scored(refreshed, test)
+    return _scored(refreshed, test, train)
