@@ -42,11 +42,19 @@ def assembler(input_cols: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(input_cols), outputCol=FEATURES, handleInvalid="keep")
 
 
-def elastic_net(reg: float = 0.01, l1_ratio: float = 0.5, max_iter: int = 10000, tol: float = 1e-5) -> LinearRegression:
-    """sklearn's ElasticNet objective (alpha, l1_ratio) is Spark's
-    (regParam, elasticNetParam) with ``standardization=False``."""
+def label_std(rows: DataFrame) -> float:
+    """Standard deviation of the label, for :func:`elastic_net`."""
+    return float(rows.agg(F.stddev_samp(LABEL).alias("s")).first()["s"] or 1.0)
+
+
+def elastic_net(reg: float = 0.01, l1_ratio: float = 0.5, max_iter: int = 10000, tol: float = 1e-5, std: float = 1.0) -> LinearRegression:
+    """sklearn's ElasticNet objective with (alpha, l1_ratio) = (``reg``,
+    ``l1_ratio``). Spark fits the label divided by its standard deviation
+    ``std``, which leaves its L1 term as it is and divides its L2 term by
+    ``std``; (regParam, elasticNetParam) are chosen so that both agree."""
+    l1, l2 = reg * l1_ratio, reg * (1 - l1_ratio) * std
     return LinearRegression(
-        featuresCol=FEATURES, labelCol=LABEL, predictionCol="y_pred", regParam=reg, elasticNetParam=l1_ratio,
+        featuresCol=FEATURES, labelCol=LABEL, predictionCol="y_pred", regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0,
         maxIter=max_iter, tol=tol, standardization=False, fitIntercept=True,
     )
 
@@ -91,9 +99,9 @@ def random_param_maps(n: int = RANDOM_SEARCH_CALLS, seed: int = SEED) -> list[di
     ]
 
 
-def estimator_of(params: dict) -> LinearRegression:
+def estimator_of(params: dict, std: float) -> LinearRegression:
     """The Spark estimator of a parameter map of a search."""
-    return elastic_net(params["alpha"], params["l1_ratio"], params["max_iter"], params["tol"])
+    return elastic_net(params["alpha"], params["l1_ratio"], params["max_iter"], params["tol"], std)
 
 
 def validation_rmsle(model, val: DataFrame) -> float:

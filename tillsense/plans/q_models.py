@@ -66,7 +66,7 @@ _TEST_SQL = with_ctes(
 @register("demand_model_elastic_net", _TEST_SQL)
 def q_demand_model_elastic_net(spark, sf_dir):
     _, cols, train, _, test = _parts(spark, sf_dir)
-    return _scored(MD.pipeline(cols, MD.elastic_net(0.01, 0.5)).fit(train), test, train)
+    return _scored(MD.pipeline(cols, MD.elastic_net(0.01, 0.5, std=MD.label_std(train))).fit(train), test, train)
 
 
 @register("demand_model_boosted_trees", _TEST_SQL)
@@ -139,7 +139,7 @@ def _best_refit(spark, sf_dir):
     mat, cols, train, val, test = _parts(spark, sf_dir)
     tv = mat.where(F.col("split").isin("train", "val"))
     grams = _grams(spark, sf_dir)
-    winner = lambda maps: MD.estimator_of(next(r for r in GR.search(grams, maps) if r["is_best"]))
+    winner = lambda maps: MD.estimator_of(next(r for r in GR.search(grams, maps) if r["is_best"]), MD.label_std(train))
     candidates = {
         "grid_search": MD.pipeline(cols, winner(MD.elastic_net_grid())),
         "random_search": MD.pipeline(cols, winner(MD.random_param_maps())),
@@ -168,7 +168,7 @@ def q_batch_inference(spark, sf_dir):
 @register("warm_refresh", _TEST_SQL)
 def q_warm_refresh(spark, sf_dir):
     mat, cols, train, _, test = _parts(spark, sf_dir)
-    first = MD.pipeline(cols, MD.elastic_net(0.01, 0.5)).fit(train)
+    first = MD.pipeline(cols, MD.elastic_net(0.01, 0.5, std=MD.label_std(train))).fit(train)
     path = MD.save_pipeline(first, table_path(train, "demand_model"))
     refreshed = MD.warm_refresh(path, mat.where(F.col("split").isin("train", "val")))
     return _scored(refreshed, test, train)
