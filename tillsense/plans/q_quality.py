@@ -95,7 +95,7 @@ def split_product(spark, sf_dir):
     return _stored_split(spark, sf_dir, "product")
 
 
-def inference_results(spark, sf_dir):
+def inference_results(spark, sf_dir, *carried):
     """Per-product demand line fitted on train rows, scored on test
     rows; prediction, truth and the sensitive flag stay on one row.
     Products without a usable line (or without train rows) use the overall
@@ -111,7 +111,7 @@ def inference_results(spark, sf_dir):
     pred = F.when(usable, F.col("intercept") + F.col("slope") * lx).otherwise(g.getField("intercept") + g.getField("slope") * lx)
     test = sp.where(F.col("split") == "test")
     return test.join(model, "stockcode", "left").select(
-        *ORDER_KEYS, "stockcode", F.col("quantity").alias("y_true"), pred.alias("y_pred"), "is_registered"
+        *ORDER_KEYS, "stockcode", F.col("quantity").alias("y_true"), pred.alias("y_pred"), "is_registered", *carried
     )
 
 
@@ -424,9 +424,7 @@ history AS (
 
 
 def _history(spark, sf_dir):
-    inf = inference_results(spark, sf_dir)
-    f = stored_features(spark, sf_dir).select(*ORDER_KEYS, "year")
-    return inf.join(f, ORDER_KEYS).groupBy("stockcode", F.col("year").alias("timestamp")).agg(
+    return inference_results(spark, sf_dir, "year").groupBy("stockcode", F.col("year").alias("timestamp")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg(F.pow(F.col("y_true") - F.col("y_pred"), 2)).alias("mse")
     )
 
