@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,17 +134,22 @@ def column_roles(df: DataFrame, target_col: str = "quantity", exclude: Sequence[
 
 
 def column_profile(df: DataFrame, target_col: str = "quantity", exclude: Sequence[str] = (), approx: bool = False) -> DataFrame:
-    """One row per column: role and number of distinct values, one pass.
+    """One row per column: role and number of distinct values.
 
-    ``approx=True`` uses HyperLogLog sketches (bounded memory at any scale).
+    Exact counts take one aggregate per column, each from a scan of that
+    column alone (pass a stored table). ``approx=True`` uses HyperLogLog
+    sketches of all columns in one pass (bounded memory at any scale).
     """
     num, cat = column_roles(df, target_col, exclude)
-    cols = num + cat
-    agg = F.approx_count_distinct if approx else F.count_distinct
-    wide = df.agg(*[agg(F.col(c)).alias(c) for c in cols])
-    long = wide.unpivot([], cols, "column_name", "n_distinct")
-    roles = F.when(F.col("column_name").isin(num), F.lit("numeric")).otherwise(F.lit("categorical"))
-    return long.select("column_name", roles.alias("role"), F.col("n_distinct").cast("bigint").alias("n_distinct"))
+    roles = {c: "numeric" for c in num} | {c: "categorical" for c in cat}
+
+    def row(c: str, n) -> list:
+        return [F.lit(c).alias("column_name"), F.lit(roles[c]).alias("role"), n.cast("bigint").alias("n_distinct")]
+
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(c).alias(c) for c in roles])
+        return wide.select(F.explode(F.array(*[F.struct(*row(c, F.col(c))) for c in roles])).alias("r")).select("r.*")
+    return reduce(DataFrame.unionByName, [df.agg(F.count_distinct(c).alias("n")).select(*row(c, F.col("n"))) for c in roles])
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
