@@ -101,8 +101,8 @@ def fit_column_transform(
             m.stds[r["column_name"]] = r["std"]
     if cat_cols:
         ords = fit_ordinals(train, cat_cols, order_col)
-        # materialise once: reused by every category join of the transform
-        m.ordinals = materialize(ords, "category_ordinals")
+        # written once, a folder for each column: every category join of the transform reads its own
+        m.ordinals = materialize(ords, "category_ordinals", partition_cols=["column_name"])
         counts = {r["column_name"]: r["n"] for r in m.ordinals.groupBy("column_name").agg(F.max("n_categories").alias("n")).collect()}
         m.digits = {c: n_digits(counts.get(c, 0)) for c in cat_cols}
     return m
