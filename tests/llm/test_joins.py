@@ -70,9 +70,9 @@ def corpus(seed=6):
     return texts
 
 
-@pytest.mark.parametrize("least", [64, 2])
+@pytest.mark.parametrize("least", [16, 0])
 def test_ngram_join_matches_brute_force(docs_of, monkeypatch, least):
-    monkeypatch.setattr(ngram_join, "LEAST", least)  # 2: most shared tokens are frequent, combinations find the pairs
+    monkeypatch.setattr(ngram_join, "LEAST", least)  # 0: most shared tokens are frequent, combinations find the pairs
     texts = corpus()
     sets = [shingles(t) for t in texts]
     links = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if similar(sets[a], sets[b])]
@@ -95,7 +95,7 @@ def test_prefixes_share_a_key():
         y = np.unique(np.concatenate([base, r.integers(0, 2**63, b).astype(np.uint64)]))
         if 100 * len(base) < 80 * (len(x) + len(y) - len(base)) or len(x) == len(y) == len(base):
             continue
-        frequent = r.random(ngram_join.SKETCH) < r.choice([0.0, 0.5, 0.9, 0.98, 1.0])
+        frequent = (r.random(ngram_join.SKETCH) < r.choice([0.0, 0.5, 0.9, 0.98, 1.0])) * r.integers(1, 9, ngram_join.SKETCH)
         kx, ky = ngram_join.index_keys(x, frequent)[0], ngram_join.index_keys(y, frequent)[0]
         assert len(np.intersect1d(kx, ky)), (len(x), len(y), len(base))
 

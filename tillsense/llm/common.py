@@ -36,6 +36,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+#: Bytes of rows that a Python worker gets at a time.
+BATCH_BYTES = 8 * 2**20
+
+
+def small_batches(df: DataFrame) -> None:
+    """Texts reach Python workers in batches of ``BATCH_BYTES`` (Spark's default
+    is 64 MB; two workers of a small executor hold several copies of each)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def texts_of(column) -> list[str]:
     """The texts of a pandas column, null as the empty text."""
     return [t if isinstance(t, str) else "" for t in column]

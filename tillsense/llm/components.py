@@ -4,7 +4,7 @@ Each partition first shrinks its edges to a spanning forest of stars (a small
 union-find over what one task reads). Then alternating star rounds join what
 is left: in a *large-star* round every node links its larger neighbours to the
 smallest node it knows, in a *small-star* round its smaller neighbours and
-itself. The rounds end when the edges stop changing; then every edge points at
+itself. The rounds end when every node has one edge, to a node that has none:
 its component's smallest node. Each round's edges are written to the shared
 folder, so a lost executor costs one round at most. Nodes with very many edges
 are aggregated before the shuffle (minimum) and joined by a join that may be
@@ -65,17 +65,22 @@ def _hooked(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u != v").distinct()
 
 
+def _is_flat(stars: DataFrame) -> bool:
+    """Every node has one edge, to a node that has none."""
+    repeated = stars.groupBy("u").agg(F.count("*").alias("c")).filter("c > 1")
+    if not repeated.isEmpty():
+        return False
+    return stars.join(stars.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the undirected ``edges`` (a, b: long):
     the component is its smallest node. No edges: no rows."""
     stars = stored(edges.select("a", "b").filter("a != b").mapInPandas(_forest, "u long, v long").distinct(), "components")
-    before = None
     for _ in range(MAX_ROUNDS):
-        stars = stored(_hooked(_hooked(stars, True), False), "components")
-        state = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (state["n"], state["h"]) == before:
+        if _is_flat(stars):
             break
-        before = (state["n"], state["h"])
+        stars = stored(_hooked(_hooked(stars, True), False), "components")
     else:
         raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
     roots = stars.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
@@ -83,11 +88,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def index_entries(entries: DataFrame) -> DataFrame:
-    """From (key, id, n, at) the stored rows whose key has other rows, with the
-    row of the key's smallest id as ``p``."""
+    """From (key, id, n, at) the stored rows whose key has other ids, with the
+    row of the key's smallest id as ``p``. A row may come more than once."""
     key = Window.partitionBy("key")
-    grouped = entries.withColumn("_size", F.count("*").over(key)).withColumn("p", F.min(F.struct("id", "n", "at")).over(key))
-    return stored(grouped.filter("_size > 1").select("key", "id", "n", "at", "p"), "index")
+    grouped = entries.withColumn("_last", F.max("id").over(key)).withColumn("p", F.min(F.struct("id", "n", "at")).over(key))
+    return stored(grouped.filter("_last != p.id").select("key", "id", "n", "at", "p"), "index")
 
 
 def _possible(n: str, at: str, m: str, bt: str) -> Column:
@@ -98,23 +103,40 @@ def _possible(n: str, at: str, m: str, bt: str) -> Column:
     return rest * 9 >= (F.col(n) + F.col(m)) * 4
 
 
-def linked_components(index: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_components(index: DataFrame, verified: Callable[[DataFrame], DataFrame], possible: Callable[..., Column] | None = None) -> DataFrame:
     """(node, component) over the ids linked by ``verified`` (of candidates
-    a, b, those that are similar), where all similar pairs share a key.
-
-    Pairs within a key are never all emitted. First every id meets its keys'
-    smallest ids. What is linked so far gives components, and the second round
-    compares only ids of a key that are still in different components: links
-    inside a component cannot change it, and no other link is lost.
+    a, b, those that are similar), where all similar pairs share a key and are
+    ``possible`` by their n and at.
+
+    Pairs within a key are never all emitted. A key's pivot is its smallest id.
+    First every id meets the one pivot that it shares most keys with; then the
+    pivots of its keys that are still in other components; at last, ids of a key
+    that are still in different components meet each other. Links inside a
+    component cannot change it, and no other link is lost.
     """
+
+    possible = possible or _possible
+
+    def placed(pairs: DataFrame, one: DataFrame, columns: tuple[str, str]) -> DataFrame:
+        """The pairs whose ids are in different components."""
+        for c in columns:
+            pairs = pairs.join(one.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")), c, "left").withColumn(f"_{c}", F.coalesce(f"_{c}", c))
+        a, b = (f"_{c}" for c in columns)
+        return pairs.filter(F.col(a) != F.col(b)).drop(a, b)
+
     stars = index.select("id", "n", "at", F.col("p.id").alias("pid"), F.col("p.n").alias("pn"), F.col("p.at").alias("pat")).filter("id != pid")
-    pairs = stored(stars.filter(_possible("n", "at", "pn", "pat")).select(F.col("pid").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links = stored(verified(pairs), "links")
+    pairs = stored(stars.filter(possible("n", "at", "pn", "pat")).groupBy(F.col("pid").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("keys")), "pairs")
+    best = stored(pairs.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a")).select("a", "b"), "pairs")
+    links = stored(verified(best), "links")
     one = components(links)
-    placed = index.join(one.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).select("key", "id", "n", "at", "component")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo != _hi").select("key")
-    left = stored(placed.join(mixed, "key", "left_semi"), "mixed-keys")
+    rest = stored(placed(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), one, ("a", "b")), "pairs")
+    links = links.unionByName(stored(verified(rest), "links"))
+    one = components(links)
+
+    rows = index.join(one.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).select("key", "id", "n", "at", "component")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo != _hi").select("key")
+    left = stored(rows.join(mixed, "key", "left_semi"), "mixed-keys")
     other = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "at", "component")])
-    cross = left.join(other, "key").filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & _possible("n", "at", "n2", "at2"))
+    cross = left.join(other, "key").filter((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & possible("n", "at", "n2", "at2"))
     more = stored(cross.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     return components(links.unionByName(stored(verified(more), "links")))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsense.llm.common import text_batches, texts_of
+from tillsense.llm.common import small_batches, text_batches, texts_of
 
 ORDERS = (1, 2, 3)
 BUCKETS = 2**16
@@ -78,6 +78,7 @@ def fold(doc_id: Column, folds: int) -> Column:
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log-probabilities[buckets, languages]) from the rows of
     ``docs`` (text, lang) that have both."""
+    small_batches(docs)
     labelled = docs.filter("text is not null and lang is not null").select("text", "lang")
     spark = docs.sparkSession
     langs = [r["lang"] for r in labelled.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]

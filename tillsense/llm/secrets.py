@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.llm.automaton import Automaton, compile_rules, scan
-from tillsense.llm.common import text_batches, texts_of
+from tillsense.llm.common import small_batches, text_batches, texts_of
 
 
 def _either(word: str) -> str:
@@ -96,6 +96,7 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
 def scan_documents(docs: DataFrame) -> DataFrame:
     """Every row's counts, digest of the base spans, and all spans."""
 
+    small_batches(docs)
     auto = docs.sparkSession.sparkContext.broadcast(automaton())  # a few kB, whatever the corpus
 
     @F.pandas_udf("struct<n_assign long, n_access long, n_hex long, base_sha256 string, spans string>")

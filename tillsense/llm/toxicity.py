@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.llm import gru
-from tillsense.llm.common import md5_key, text_batches, texts_of
+from tillsense.llm.common import md5_key, small_batches, text_batches, texts_of
 
 WIDTH, STRIDE = 32, 24
 POSITIVES, NEGATIVES = 1000, 8000
@@ -114,6 +114,7 @@ def score(docs: DataFrame, params: dict[str, np.ndarray] | None, level: float) -
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The digest of toxicity scores over a documents table."""
+    small_batches(docs)
     held_out = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
     params, level = train(docs, labels.filter(fold(F.col("doc_id")) != HELD_OUT))
     return score(docs.select("doc_id", "text", held_out.alias("held_out")), params, level).drop("text")
