@@ -174,12 +174,13 @@ def q_impute_median(spark, sf_dir):
     return round_doubles(EN.fit_medians(s.where(F.col("split") == "train"), NUM_COLS))
 
 
-@register("standardize", with_ctes(_ENC, f"SELECT column_name, {q6('mean')} AS mean, {q6('std')} AS std FROM scale"))
+@register("standardize", with_ctes(_ENC, f"SELECT column_name, {q6('mean', 2)} AS mean, {q6('std', 2)} AS std FROM scale"))
 def q_standardize(spark, sf_dir):
     s = split_global(spark, sf_dir)
     train = s.where(F.col("split") == "train")
     med = {r["column_name"]: r["median"] for r in EN.fit_medians(train, NUM_COLS).collect()}
-    return round_doubles(EN.fit_scaling(train, NUM_COLS, med))
+    # epoch seconds and squared prices are up to 1e10: two decimals
+    return round_doubles(EN.fit_scaling(train, NUM_COLS, med), {"mean": 2, "std": 2})
 
 
 @register(
