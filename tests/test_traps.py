@@ -1,5 +1,6 @@
 """Hand-made fixtures, one per trap of SURVEY §2.15 (FIXTURES.md §4)."""
 
+import hashlib
 import math
 
 from pyspark.sql import functions as F
@@ -164,3 +165,18 @@ def test_j11_flagship_equals_step_by_step_composition(spark):
     )
     assert len(got) == 14
     assert got == sorted(ref.collect())
+
+
+def test_j11_samples_1200_rows_a_product(spark):
+    """The reference scores 1,200 sampled rows at each price; a product with fewer rows gives all."""
+    rows = [("hot", f"h{i}", float(i)) for i in range(1500)] + [("cold", f"c{i}", float(i)) for i in range(40)]
+    f = spark.createDataFrame(rows, "stockcode string, invoiceno string, product_avg_quantity_last_month double").repartition(7)
+    sample = PR.product_sample(f)
+    assert sample._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 3  # bounded before each shuffle
+    got = {}
+    for r in sample.collect():
+        got.setdefault(r.stockcode, []).append((r.sample_no, r.momentum))
+    for product, size in (("hot", 1200), ("cold", 40)):
+        want = sorted((hashlib.md5(f"{i}|42".encode()).hexdigest(), m) for p, i, m in rows if p == product)[:size]
+        assert [n for n, _ in sorted(got[product])] == list(range(1, size + 1))
+        assert all(math.isclose(m, math.log1p(w)) for (_, m), (_, w) in zip(sorted(got[product]), want, strict=True))
