@@ -165,6 +165,22 @@ def test_line_dedup_of_odd_rows(odd, none):
     assert line_dedup.dedup_documents(none).count() == 0
 
 
+def test_line_dedup_takes_each_row_as_a_document(docs_of):
+    """Rows without a doc_id, or with a repeated one, are not merged: exact copies lose their lines, and no array
+    of dropped lines is longer than a text."""
+    same = "a line that many rows have\nand one more line of them"
+    rows = [(None, same)] * 6 + [(5, same)] * 3 + [(None, f"{same}\n{i} {'xyz'[i % 3] * 9} {i * 7919}") for i in range(30)] + [(5, "quite another text"), (None, None)]
+    docs = docs_of([(i, t, None, None) for i, t in rows], 4)
+    out = line_dedup.without_repeated_lines(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(str(i) for i, _ in rows)
+    left = Counter(x for r in out if r["text"] is not None for x in r["text"].split("\n"))
+    assert all(left[x] == 1 for x in same.split("\n"))
+    assert sorted(r["text"] for r in out if r["doc_id"] == 5) == ["", "", same, "quite another text"]
+    assert all(r[line_dedup.N_DROPPED] == 2 for r in out if r["doc_id"] is None and r["text"] is not None)
+    gone = line_dedup.repeated_lines(line_dedup.keyed_rows(docs)).collect()
+    assert len(gone) == 31 and all(len(r["dropped"]) == 2 for r in gone)
+
+
 def vectors(seed=1, n=700, d=32):
     r = np.random.default_rng(seed)
     v = r.standard_normal((n, d))
