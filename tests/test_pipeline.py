@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from rows import SF0001
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import raw_frame
+from rows import raw_frame
 from tillsense.operators import drift as DR
 from tillsense.operators import features as FE
 from tillsense.operators import quality as QU

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001, raw_frame
+from rows import SF0001, raw_frame
 from tillsense.operators import features as FE
 from tillsense.plans.catalog import round_doubles
 from tillsense.plans.q_core import FEATURE_OUT

@@ -5,7 +5,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import raw_frame
+from rows import raw_frame
 from tillsense.operators import cleaning as C
 from tillsense.operators import features as FE
 from tillsense.operators import pricing as PR

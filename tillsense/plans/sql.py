@@ -6,6 +6,8 @@ DataFrame plans; the driver runs them on the same Parquet tables.
 
 from __future__ import annotations
 
+from tillsense.operators.pricing import SAMPLE_PER_PRODUCT
+
 
 def q6(expr: str, decimals: int = 6) -> str:
     """SQL twin of ``round6``."""
@@ -199,7 +201,7 @@ plane AS (SELECT stockcode, slope, mw, my - slope * mx - mw * mm AS intercept FR
 psample AS (
   SELECT stockcode, sample_no, ln(1 + greatest(product_avg_quantity_last_month, 0.0)) AS momentum FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY stockcode ORDER BY md5(invoiceno || '|42'), @@ORDER@@) AS INTEGER) AS sample_no FROM features
-  ) WHERE sample_no <= 16
+  ) WHERE sample_no <= @@SAMPLE@@
 ),
 scored0 AS (
   SELECT g.stockcode, g.bin, g.unit_price, s.sample_no,
@@ -233,6 +235,7 @@ best AS (
 PRICING = (
     PRICING.replace("@@Q6EXP@@", q6("exp(y_pred) * 100.0"))
     .replace("@@ORDER@@", TOTAL_ORDER_SQL)
+    .replace("@@SAMPLE@@", str(SAMPLE_PER_PRODUCT))
     .replace(
         "@@SUMS@@",
         "count(x) AS n, avg(x) AS mx, avg(m) AS mm, avg(y) AS my, var_pop(x) AS sxx, var_pop(m) AS smm, "
