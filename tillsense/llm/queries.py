@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsense.llm import embedding_join, fingerprint, langid, line_dedup, mixing, ngram_join, packing, secrets, sharding, toxicity
+from tillsense.llm import embedding_join, fingerprint, langid, line_dedup, merkle, mixing, ngram_join, packing, secrets, sharding, toxicity
 from tillsense.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,8 +31,10 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_join": lambda spark, sf_dir: embedding_join.near_vectors(read_table(spark, sf_dir, "embeddings")),
     "op9_line_dedup": _documents(line_dedup.dedup_documents),
     "op10_toxicity": _toxicity,
+    "op11_merkle_manifest": _documents(merkle.verify_documents),
 }
 
 SQL: dict[str, str] = {
     "op3_mixing": mixing.MIX_SQL.replace("{docs}", "documents"),
+    "op11_merkle_manifest": merkle.MANIFEST_SQL,
 }
