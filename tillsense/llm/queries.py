@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsense.llm import embedding_join, fingerprint, langid, line_dedup, merkle, mixing, ngram_join, packing, secrets, sharding, toxicity
+from tillsense.llm import decontamination, embedding_join, fingerprint, hard_negatives, langid, line_dedup, merkle, mixing, ngram_join, packing, secrets, sharding, toxicity
 from tillsense.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _documents(langid.identify_documents),
     "op2_sharding": _documents(sharding.shard_documents),
@@ -32,9 +36,13 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": _documents(line_dedup.dedup_documents),
     "op10_toxicity": _toxicity,
     "op11_merkle_manifest": _documents(merkle.verify_documents),
+    "op12_hard_negatives": lambda spark, sf_dir: hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings")),
+    "op13_decontamination": _decontamination,
 }
 
 SQL: dict[str, str] = {
     "op3_mixing": mixing.MIX_SQL.replace("{docs}", "documents"),
     "op11_merkle_manifest": merkle.MANIFEST_SQL,
+    "op12_hard_negatives": hard_negatives.NEGATIVES_SQL,
+    "op13_decontamination": decontamination.DECONTAMINATION_SQL,
 }
