@@ -25,7 +25,7 @@ Defined cases: rows with a null label, a null vector or null or non-finite
 components take no part; vectors of different length never meet; a null vec_id is a
 row like others, never an anchor, and comes first among ties; rows with equal vec_id
 are rows of their own; an empty table gives an empty result; other columns are
-ignored. A component beyond 64 bits after scaling is an error.
+ignored. A scaled component or a score beyond 64 bits is an error.
 """
 
 from __future__ import annotations
@@ -52,6 +52,7 @@ WINDOW_LEVELS = (0.9, 0.6)
 ROWS, QUERIES, TILE = (4096, 65536), 8192, (256, 4096)
 CHUNKS = 4
 NO_ID = np.iinfo(np.int64).min
+MOST = 2**63 - 1
 
 
 def pack(vectors: list[np.ndarray]) -> list[bytes]:
@@ -169,7 +170,7 @@ def _found(k: int, same: bool, order: list[int] | None) -> Callable[[pd.DataFram
         most = max(len(v) for v in queries["windows"])
         w, lo, hi = (
             np.array([[x[name] for x in v] + [none] * (most - len(v)) for v in queries["windows"]], dtype=np.int64)
-            for name, none in (("w", -1), ("lo", 2**62), ("hi", -(2**62)))
+            for name, none in (("w", -1), ("lo", MOST), ("hi", -MOST))
         )
         keep = []
         for i, j, s in threshold_pairs(a, lo.min(axis=1), y):
@@ -254,8 +255,8 @@ def nearest(rows: DataFrame, anchors: DataFrame, k: int, blocks: int, order: lis
     """(q, row, vec_id, score, rank): the k best other rows of each anchor's label."""
     todo, done = anchors.withColumn("w", F.lit(0)), []
     for level in [*LEVELS, None]:
-        lo = F.lit(-(2**62)) if level is None else F.floor(F.col("norm") * F.lit(level * most))
-        asked = todo.withColumn("windows", F.array(_window(F.lit(0), lo, F.lit(2**62))))
+        lo = F.lit(-MOST) if level is None else F.floor(F.col("norm") * F.lit(level * most))
+        asked = todo.withColumn("windows", F.array(_window(F.lit(0), lo, F.lit(MOST))))
         found = stored(threshold_join(rows, asked.select("row", "label", "dim", "vec", "windows"), k, True, blocks, order), "negatives-near")
         if level is None:
             done.append(found)
@@ -290,7 +291,7 @@ def in_windows(rows: DataFrame, anchors: DataFrame, windows: DataFrame, k: int,
 
 def percent(part: int) -> Column:
     """``score`` times ``part`` over 100, rounded down, in whole numbers."""
-    return F.expr(f"(score * {part}L - pmod(score * {part}L, 100L)) div 100L")
+    return F.expr(f"cast(floor(cast(score as decimal(20, 0)) * {part} / 100) as bigint)")
 
 
 def mine(vectors: DataFrame, is_anchor: Column, positives: int = POSITIVES, negatives: int = NEGATIVES, low: int = LOW, high: int = HIGH) -> DataFrame:
