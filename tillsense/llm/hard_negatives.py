@@ -110,7 +110,7 @@ def threshold_pairs(a: np.ndarray, t: np.ndarray, y: np.ndarray) -> Iterator[tup
         for r in range(0, len(y), TILE[1]):
             rows = order[r : r + TILE[1]]
             rows = rows[count[rows] > 0] if qt.min() > 0 else rows
-            score = np.zeros((len(qa), len(rows)), dtype=kind)
+            score, alive = np.zeros((len(qa), len(rows)), dtype=kind), np.ones((len(qa), len(rows)), dtype=bool)
             for c in range(len(cuts) - 1):
                 n = int((count[rows] > c).sum())
                 if n:
