@@ -53,7 +53,47 @@ def test_a_new_shard_moves_few_documents(spark):
     before = {r["doc_id"]: r["shard"] for r in sharding.shard(docs, 40).collect()}
     after = {r["doc_id"]: r["shard"] for r in sharding.shard(docs, 41).collect()}
     moved = sum(before[k] != after[k] for k in before) / len(before)
-    assert moved < 0.25  # dealing anew by remainder moves 98 %
+    assert moved < 0.06  # 4.2 %; 2.4 % is the least, dealing anew by remainder moves 98 %
+
+
+def walk(keys, shards, vnodes):
+    """Place documents (by key) one at a time on the ring: each shard keeps its
+    share of every arc, the others go clockwise to the next shard with room."""
+    points = sorted((int(md5(f"shard {s} node {v}".encode()).hexdigest()[:8], 16), s, v) for s in range(shards) for v in range(vnodes))
+    arc_of = lambda key: next((i for i, p in enumerate(points) if p[0] >= int(key[8:16], 16)), 0)
+    arcs = defaultdict(list)
+    for key, i in sorted((md5(f"{i}|ring".encode()).hexdigest(), i) for i in keys):
+        arcs[arc_of(key)].append(i)
+    room = {s: len(keys) // shards + (s < len(keys) % shards) for s in range(shards)}
+    home = {s: [a for a, p in enumerate(points) if p[1] == s] for s in range(shards)}
+    out, over = {}, []
+    for s, own in home.items():
+        loads = [len(arcs[a]) for a in own]
+        exact = [n * min(1, room[s] / max(1, sum(loads))) for n in loads]
+        keep = [math.floor(e) for e in exact] if sum(loads) > room[s] else loads
+        for j in sorted(range(len(own)), key=lambda j: -(exact[j] - math.floor(exact[j])) if sum(loads) > room[s] else 0):
+            if sum(keep) < min(room[s], sum(loads)) and keep[j] < loads[j]:
+                keep[j] += 1
+        for a, k in zip(own, keep, strict=True):
+            out |= dict.fromkeys(arcs[a][:k], s)
+            over += [(a, n, i) for n, i in enumerate(arcs[a][k:])]
+    for s in room:
+        room[s] -= sum(v == s for v in out.values())
+    for a, _, i in sorted(over):
+        while True:
+            a = (a + 1) % len(points)
+            if room[points[a][1]]:
+                break
+        out[i] = points[a][1]
+        room[points[a][1]] -= 1
+    return out
+
+
+@pytest.mark.parametrize(("shards", "vnodes", "n"), [(7, 5, 300), (3, 2, 50), (40, 64, 1000), (5, 1, 3)])
+def test_placement_equals_a_walk_round_the_ring(spark, shards, vnodes, n):
+    docs = spark.range(n).selectExpr("id as doc_id").repartition(3)
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard(docs, shards, vnodes).collect()}
+    assert got == walk(range(n), shards, vnodes)
 
 
 def test_bounded_ranges_fill_every_bound():

@@ -10,9 +10,9 @@ points of shards that have room.
 
 Only the document count of each arc (``shards * vnodes`` numbers, whatever the
 input) reaches the driver. It yields a short list of ranges "ranks lo..hi of
-arc a go to shard s, from slot k", broadcast with a size bound of the same
-kind; documents find their range by their rank in the arc, a distributed
-prefix sum. Copies of a text have keys of their own and spread over shards.
+arc a go to shard s, from slot k", constants of the plan with a size bound of the
+same kind; documents find their range by their rank in the arc, a distributed
+prefix sum, and a binary search in the JVM. Copies of a text have keys of their own and spread over shards.
 
 Defined cases: null text is no bytes (size 16, crc of nothing); a null doc_id
 is a key like any other; repeated rows are separate rows that share a home and
@@ -22,11 +22,9 @@ ignored by the query and kept by :func:`shard`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.llm.common import hash_cells, md5_key, prefix_sums, stored
@@ -87,35 +85,45 @@ def bounded_ranges(loads: np.ndarray, owner: np.ndarray, shards: int) -> pd.Data
     return pd.DataFrame(sorted(out), columns=["arc", "lo", "shard", "slot"])
 
 
+def constant(values: np.ndarray) -> Column:
+    """A constant array of whole numbers (parsed once, when the plan is made)."""
+    return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<bigint>")
+
+
+def count_below(values: np.ndarray, x: Column) -> Column:
+    """How many of the sorted ``values`` are below ``x``: a binary search in the JVM."""
+    table = constant(values)
+    steps = [1 << k for k in reversed(range(len(values).bit_length()))]
+
+    def step(low: Column, width: Column) -> Column:
+        return low + F.when(F.coalesce(F.get(table, low + width - 1) < x, F.lit(False)), width).otherwise(F.lit(0))
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+
+
 def shard(docs: DataFrame, shards: int = 40, vnodes: int = 64) -> DataFrame:
     """Every row of ``docs`` (doc_id, ...) with its ``home_shard``, ``shard``
     and ``slot`` (0, 1, ... without gaps inside the shard)."""
     position, owner = ring(shards, vnodes)
-
-    @F.pandas_udf("int")
-    def arc_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for at in batches:
-            yield pd.Series(np.searchsorted(position, at.to_numpy(), side="left") % len(position))
-
     keyed = docs.withColumn("_key", md5_key(F.col("doc_id"), SALT))
-    keyed = keyed.withColumn("_arc", arc_of(F.conv(F.substring("_key", 9, 8), 16, 10).cast("long")))
+    at = F.conv(F.substring("_key", 9, 8), 16, 10).cast("long")
+    keyed = keyed.withColumn("_arc", F.pmod(count_below(position, at), F.lit(len(position))))
     loads = np.zeros(len(position), dtype=np.int64)
     for r in keyed.groupBy("_arc").count().collect():  # one number for each arc
         loads[r["_arc"]] = r["count"]
     ranges = bounded_ranges(loads, owner, shards)
     starts = (ranges["arc"].to_numpy(np.int64) << 44) + ranges["lo"].to_numpy(np.int64)
-    lo, to, slot = (ranges[c].to_numpy(np.int64) for c in ("lo", "shard", "slot"))
-
-    @F.pandas_udf("struct<home_shard int, shard int, slot long>")
-    def placed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for arc, rank in batches:
-            a, r = arc.to_numpy(np.int64), rank.to_numpy(np.int64)
-            i = np.searchsorted(starts, (a << 44) + r, side="right") - 1
-            yield pd.DataFrame({"home_shard": owner[a], "shard": to[i], "slot": slot[i] + r - lo[i]})
-
+    lo, to, slot = (constant(ranges[c].to_numpy(np.int64)) for c in ("lo", "shard", "slot"))
     tie = [c for c in ("doc_id", "text_crc32", "size") if c in docs.columns]
     ranked = prefix_sums(keyed, ["_arc"], "_key", tie, None, "_rank", hash_cells(int(loads.sum() // len(loads)) + 1))
-    return ranked.withColumn("_at", placed("_arc", "_rank")).select(*docs.columns, "_at.*")
+    where = F.shiftleft(F.col("_arc").cast("long"), 44) + F.col("_rank")
+    placed = ranked.withColumn("_at", count_below(starts, where + 1) - 1)
+    return placed.select(
+        *docs.columns,
+        F.get(constant(owner), F.col("_arc")).cast("int").alias("home_shard"),
+        F.get(to, F.col("_at")).cast("int").alias("shard"),
+        (F.get(slot, F.col("_at")) + F.col("_rank") - F.get(lo, F.col("_at"))).alias("slot"),
+    )
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, vnodes: int = 64) -> DataFrame:
