@@ -2,9 +2,10 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from tillsense.operators.ranking import exact_median, last_by, mode_by, running_total
+from tillsense.operators.ranking import exact_median, last_by, mode_by, range_cell, range_numbered, running_total
 
 
 def _fixture(spark, n=3000, seed=7):
@@ -76,3 +77,31 @@ def test_exact_median_bracket_fallback(spark):
     for k, g in pdf.groupby("k"):
         assert np.isclose(got[k], np.median(g["v"]))
     assert np.isclose(exact_median(df, "v", [], accuracy=3).first().median, np.median(pdf["v"]))
+
+
+@pytest.mark.parametrize("cells", [1, 7, 64])
+def test_range_numbered_is_row_number(spark, cells):
+    """NULL keys, ties, negative and missing numbers; a group with most rows."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(2000):
+        v = None if i % 11 == 0 else float("nan") if i % 97 == 0 else float(rng.integers(-5, 5))
+        rows.append((None if i % 13 == 0 else "hot" if i % 3 else f"g{i % 7}", v, None if i % 5 == 0 else f"é,{i % 17}", i))
+    df = spark.createDataFrame(rows, "g string, v double, s string, i long").repartition(5)
+    order = ["v", "s", "i"]
+    for group in ([], ["g"]):
+        got = {r["i"]: (r["rn"], r["n"]) for r in range_numbered(df, group, order, "rn", "n", cells).collect()}
+        exp = running_total(df, group, [F.col(c).asc_nulls_first() for c in order], "rn", total_out="n")
+        assert got == {r["i"]: (r["rn"], r["n"]) for r in exp.collect()}
+    assert range_numbered(df.limit(0), ["g"], order).collect() == []
+
+
+def test_range_numbered_spreads_a_hot_group_and_moves_keys_only(spark, tmp_path):
+    rows = [("hot", i, "wide" * 20) for i in range(4000)]
+    spark.createDataFrame(rows, "g string, i long, pad string").repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    sizes = df.groupBy(range_cell(df, ["g", "i"], 16).alias("c")).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2 * 4000 / 16
+    plan = range_numbered(df, ["g"], ["i"], cells=16).select("g", "i", "rn")._jdf.queryExecution().executedPlan().toString()
+    assert "pad" not in plan and "rangepartitioning" not in plan
+    assert "split(" not in plan  # the bounds are constants, not parsed for each row

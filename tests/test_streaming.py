@@ -8,7 +8,9 @@ from tillsense.plans.catalog import round_doubles
 from tillsense.plans.q_core import FEATURE_OUT
 from tillsense.sources.retail import retail_transactions
 from tillsense.sources.tables import table_path
+from tillsense.operators.ranking import exact_median
 from tillsense.streaming import refresh as RF
+from tillsense.streaming import state as ST
 
 
 def test_refresh_in_several_batches(spark):
@@ -59,3 +61,50 @@ def test_restarted_stream_keeps_batches_and_global_price_follows(spark):
     RF.refresh_batch(spark, two, 0, f"{base}/h", f"{base}/f", "run2", buckets=8)  # a retry
     assert spark.read.parquet(f"{base}/h").count() == 8
     assert _table(spark.read.parquet(f"{base}/f")) == _table(FE.transactions_features(old.unionByName(one).unionByName(two)))
+
+
+def test_a_batch_reads_only_the_history_of_its_buckets(spark):
+    old = _rows(spark, *[(str(i), f"p{i % 40}", 1 + i % 9, 1.0 + i % 7) for i in range(400)])
+    base = table_path(old, "refresh_plan")
+    RF.bootstrap(spark, old, f"{base}/h", f"{base}/f", buckets=16)
+    new = _rows(spark, ("900", "p3", 9, 2.0))
+    refreshed, _, in_buckets, _, gmed = RF.touched_features(spark, new, "run-0", f"{base}/h", 16)
+    assert len(in_buckets) == 1
+    plan = refreshed.withColumn("g", gmed)._jdf.queryExecution().executedPlan().toString().split("\n")
+    scans = [line for line in plan if "FileScan parquet" in line and "batch_key" in line]
+    history = [line for line in scans if "invoicedate" in line.split("Batched")[0]]
+    state = [line for line in scans if line not in history]
+    assert history and state
+    # of the history only the touched bucket is read, and of the state too
+    for line in history + state:
+        assert "(bucket#" in line.split("PartitionFilters")[1].split("PushedFilters")[0], line
+
+
+def test_state_adds_up_over_batches(spark):
+    """Months, value counts and country counts of all batches are those of all rows, also compacted."""
+    first = _rows(spark, ("1", "p", 1, 9.0), ("2", "p", 1, None), ("3", None, 2, 9.0))
+    second = _rows(spark, ("4", "p", 1, 9.0), ("5", "q", 3, 2.0), ("6", "m", 3, 2.0))
+    path = table_path(first, "state")
+    ST.store(ST.contribution(first), path, "a", 4)
+    ST.store(ST.contribution(second), path, "b", 4)
+    ST.store(ST.contribution(second), path, "b", 4)  # a retry replaces its own part
+    ST.record_files(first, path, "a")
+    ST.record_files(second.withColumn(ST.FILE, F.lit("f1")), path, "b")
+    small = ST.compacted(spark, path, table_path(first, "compacted"), 4)
+    whole = ST.contribution(first.unionByName(second))
+    nothing = {k: v.limit(0) for k, v in ST.contribution(first).items()}
+    for name in ST.TABLES:
+        expected = sorted(map(str, whole[name].collect()))
+        for p in (path, small):
+            assert sorted(map(str, ST.merged(spark, p, name, nothing, "none", None).select(*whole[name].columns).collect())) == expected
+    for p in (path, small):
+        assert [r[0] for r in ST.known_files(spark, p, "a").collect()] == ["f1"]
+
+
+def test_median_of_counts_is_the_median_of_the_values(spark):
+    values = [("a", v) for v in (1.0, 1.0, 2.0, 5.0)] + [("b", 3.0)] + [("c", float(v)) for v in range(11)]
+    df = spark.createDataFrame(values, "g string, v double")
+    counts = df.groupBy("g", "v").agg(F.count("*").alias("n"))
+    got = {r["g"]: r["m"] for r in ST.median_of_counts(counts, "v", "n", ["g"], "m").collect()}
+    assert got == {"a": 1.5, "b": 3.0, "c": 5.0}
+    assert ST.median_of_counts(counts, "v", "n", [], "m").first()["m"] == exact_median(df, "v", [], out="m").first()["m"]

@@ -96,19 +96,20 @@ def global_median_price(df: DataFrame) -> DataFrame:
     return exact_median(df, "unitprice", [], out="global_median_price")
 
 
-def join_product_imputation(df: DataFrame, global_median=None) -> DataFrame:
+def join_product_imputation(df: DataFrame, global_median=None, per_product: DataFrame | None = None) -> DataFrame:
     """Country <- product mode; price <- product median <- global median.
 
     ``global_median`` overrides the table's own median (a refresh of some
-    products passes the median of all rows). ``GLOBAL_PRICE`` marks the rows
-    whose price it is."""
-    mode = mode_by(df, ["stockcode"], "country", out="imputed_country")
-    med = exact_median(df, "unitprice", ["stockcode"], out="imputed_unitprice")
+    products passes the median of all rows), ``per_product`` its own mode and
+    median. ``GLOBAL_PRICE`` marks the rows whose price is the global one."""
     # one value for the whole table: a scalar subquery, run once, no join
     gmed = global_median_price(df).scalar() if global_median is None else global_median
-    # both per-product tables are joined with each other first (small), so
-    # the rows take one join, not two
-    per_product = mode.join(med, "stockcode", "full")
+    if per_product is None:
+        mode = mode_by(df, ["stockcode"], "country", out="imputed_country")
+        med = exact_median(df, "unitprice", ["stockcode"], out="imputed_unitprice")
+        # both per-product tables are joined with each other first (small), so
+        # the rows take one join, not two
+        per_product = mode.join(med, "stockcode", "full")
     out = df.join(per_product, "stockcode", "left")
     return out.withColumns(
         {
@@ -119,16 +120,10 @@ def join_product_imputation(df: DataFrame, global_median=None) -> DataFrame:
     ).drop("imputed_country", "imputed_unitprice")
 
 
-def monthly_product_features(df: DataFrame) -> DataFrame:
-    """Lag (E1) and all-time max price (D2) as ONE table keyed by (stockcode,
-    month), so the rows take a single join for both.
-
-    One aggregate per (stockcode, month) -- the NULL month (unparsable date)
-    kept as its own group, so the max sees every row of the product as D2
-    does, while its quantity never feeds a lag -- then one window per
-    product over that aggregate (at most one row per month). The rows join
-    it with a null-safe month key."""
-    monthly = (
+def monthly_totals(df: DataFrame) -> DataFrame:
+    """Quantity and highest price per (stockcode, month); they add up over
+    batches. The NULL month (unparsable date) is a group of its own."""
+    return (
         df.where(F.col("stockcode").isNotNull())
         .groupBy("stockcode", "month")
         .agg(
@@ -136,6 +131,17 @@ def monthly_product_features(df: DataFrame) -> DataFrame:
             F.max("unitprice").alias("_maxp"),
         )
     )
+
+
+def monthly_product_features(monthly: DataFrame) -> DataFrame:
+    """Lag (E1) and all-time max price (D2) as ONE table keyed by (stockcode,
+    month), so the rows take a single join for both.
+
+    One aggregate per (stockcode, month) (``monthly_totals``: the NULL month is
+    kept, so the max sees every row of the product as D2 does, while its
+    quantity never feeds a lag), then one window per product over that
+    aggregate (at most one row per month). The rows join it with a null-safe
+    month key."""
     w = Window.partitionBy("stockcode").orderBy("month")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return monthly.select(
@@ -147,14 +153,20 @@ def monthly_product_features(df: DataFrame) -> DataFrame:
     )
 
 
-def phase1(raw: DataFrame) -> DataFrame:
-    """Rows after code cleaning with calendar, momentum and price features,
-    before the quantity filter."""
+def phase1_rows(raw: DataFrame) -> DataFrame:
+    """Rows after code cleaning with calendar columns."""
     df = C.canonical_stockcode(raw)
     df = C.drop_admin_codes_pre(df)
     df = C.prune_columns(df, ["description"])
-    df = C.calendar_features(df)
-    feats = monthly_product_features(df)
+    return C.calendar_features(df)
+
+
+def phase1(raw: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Rows after code cleaning with calendar, momentum and price features,
+    before the quantity filter. ``totals`` overrides the rows' own monthly
+    totals (a refresh passes those of its merged state)."""
+    df = phase1_rows(raw)
+    feats = monthly_product_features(monthly_totals(df) if totals is None else totals)
     cond = (F.col("stockcode") == F.col("_mstock")) & F.col("month").eqNullSafe(F.col("_mmonth"))
     df = df.join(feats, cond, "left").withColumn(
         "product_avg_quantity_last_month",
@@ -175,11 +187,13 @@ def phase2_rows(df: DataFrame) -> DataFrame:
     return C.fill_unknown_keys(df)
 
 
-def phase2(df: DataFrame, global_median=None) -> DataFrame:
-    # four branches (mode, product median, global median, rows) read this:
-    # write it once instead of re-running the source joins per branch
-    df = materialize(phase2_rows(df), "features_pre_imputation")
-    df = join_product_imputation(df, global_median)
+def phase2(df: DataFrame, global_median=None, per_product: DataFrame | None = None) -> DataFrame:
+    df = phase2_rows(df)
+    if per_product is None:
+        # four branches (mode, product median, global median, rows) read this:
+        # write it once instead of re-running the source joins per branch
+        df = materialize(df, "features_pre_imputation")
+    df = join_product_imputation(df, global_median, per_product)
     return C.log_target(df)
 
 
@@ -190,9 +204,13 @@ def imputation_rows_price(raw: DataFrame) -> DataFrame:
     return C.positive_quantity(df).select("unitprice")
 
 
-def transactions_features(raw: DataFrame, global_median=None, price_source: bool = False) -> DataFrame:
+def transactions_features(
+    raw: DataFrame, global_median=None, price_source: bool = False, totals: DataFrame | None = None, per_product: DataFrame | None = None
+) -> DataFrame:
     """The full feature table T2 (plus any lineage columns of ``raw``);
-    with ``price_source`` also ``GLOBAL_PRICE``."""
-    df = phase2(phase1(raw), global_median)
+    with ``price_source`` also ``GLOBAL_PRICE``. Given what the products' rows add
+    up to (``totals``, ``per_product``, ``global_median``), the rows are only
+    joined with it and not aggregated."""
+    df = phase2(phase1(raw, totals), global_median, per_product)
     extra = [c for c in raw.columns if c not in FEATURE_COLUMNS and c not in ("description",)]
     return df.select(*FEATURE_COLUMNS, *extra, *([GLOBAL_PRICE] if price_source else []))

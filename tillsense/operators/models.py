@@ -104,10 +104,14 @@ def estimator_of(params: dict, std: float) -> LinearRegression:
     return elastic_net(params["alpha"], params["l1_ratio"], params["max_iter"], params["tol"], std)
 
 
+def rmsle(pred: DataFrame) -> float:
+    """RMSLE of predicted rows."""
+    return regression_metrics(pred.select(F.col(LABEL).alias("y_true"), "y_pred")).first()["rmsle"]
+
+
 def validation_rmsle(model, val: DataFrame) -> float:
-    """RMSLE of a fitted model on validation rows (D12 on its predictions)."""
-    pred = model.transform(val).select(F.col(LABEL).alias("y_true"), "y_pred")
-    return regression_metrics(pred).first()["rmsle"]
+    """RMSLE of a fitted model on validation rows."""
+    return rmsle(model.transform(val))
 
 
 def select_best_refit(candidates: dict, train: DataFrame, val: DataFrame, train_val: DataFrame):

@@ -10,10 +10,12 @@ totals of the earlier partitions of the same group (a table with at most
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillsense.sources.tables import materialize
 
@@ -113,6 +115,83 @@ def running_total(
     return res
 
 
+# ------------------------------------------------ numbering by constant bounds
+SAMPLES_PER_CELL = 32
+#: Rows of a cell that ``range_numbered`` aims at, and cells at most.
+CELL_ROWS, MOST_CELLS = 500_000, 8192
+_KINDS = ((T.StringType, "string", ""), (T.BooleanType, "bigint", 0), (T.IntegralType, "bigint", 0), (T.NumericType, "double", 0.0))
+
+
+def _sort_fields(df: DataFrame, names: Sequence[str]) -> list[tuple[Column, str]]:
+    """(value, type) pairs without NULLs that sort as the columns do, NULLs first.
+    Equal values of other types than text and whole numbers may fall together."""
+    out = []
+    for n in names:
+        kind = df.schema[n].dataType
+        cast, empty = next(((k, e) for t, k, e in _KINDS if isinstance(kind, t)), ("string", ""))
+        out += [(F.col(n).isNotNull().cast("bigint"), "bigint"), (F.coalesce(F.col(n).cast(cast), F.lit(empty).cast(cast)), cast)]
+    return out
+
+
+def range_cell(df: DataFrame, names: Sequence[str], cells: int, seed: int = 7) -> Column:
+    """The range 0..cells-1 that a row falls in by the order of the columns
+    ``names``. The bounds are taken from a sample and are constants of the plan:
+    every use of the column, in whatever plan, gives a row the same range."""
+    fields = _sort_fields(df, names)
+    keys = [f"_k{i}" for i in range(len(fields))]
+    n = df.count()
+    wanted = cells * SAMPLES_PER_CELL
+    slim = df.select(*[v.alias(k) for (v, _), k in zip(fields, keys, strict=True)])
+    rows = slim.sample(min(1.0, wanted / n), seed).collect() if n and cells > 1 else []  # about ``wanted`` keys
+    picked = sorted({tuple(r) for r in rows if not any(isinstance(v, float) and math.isnan(v) or isinstance(v, str) and "\x01" in v for v in r)})
+    bounds = [picked[len(picked) * i // cells] for i in range(1, cells)] if len(picked) >= cells else picked
+    if not bounds:
+        return F.lit(0)
+    # one text constant per field, parsed once when the plan is made
+    text = lambda v: repr(v) if isinstance(v, float) else str(v)
+    tables = [F.split(F.lit("\x01".join(text(b[i]) for b in bounds)), "\x01").cast(f"array<{kind}>") for i, (_, kind) in enumerate(fields)]
+    key = F.struct(*[v.alias(k) for (v, _), k in zip(fields, keys, strict=True)])
+
+    def step(low: Column, width: Column) -> Column:
+        at = low + width - 1
+        bound = F.struct(*[F.coalesce(F.get(t, at), e).alias(k) for t, e, k in zip(tables, [F.lit("" if kind == "string" else 0).cast(kind) for _, kind in fields], keys, strict=True)])
+        return low + F.when((at < len(bounds)) & (bound <= key), width).otherwise(F.lit(0))
+
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), step)
+
+
+def range_numbered(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], out: str = "rn", total_out: str | None = None, cells: int | None = None) -> DataFrame:
+    """``row_number()`` (and ``count(*)``) inside each group in the order of
+    ``order_cols``, ascending with NULLs first, as ``running_total`` gives them,
+    without writing the rows.
+
+    The ranges come from constant bounds (``range_cell``), so the plan that counts
+    the rows of each range and the one that numbers them agree. Counting reads
+    only the key columns; the rows cross one exchange, to their range, with the
+    columns that are asked for. ``df`` is read three times: pass a stored table."""
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    spark = df.sparkSession
+    if cells is None:
+        cells = min(MOST_CELLS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.count() // CELL_ROWS))
+    cell = range_cell(df, [*group_cols, *order_cols], cells)
+    keyed = df.withColumn("_cell", cell)
+    counts = keyed.groupBy("_cell", *group_cols).agg(F.count(F.lit(1)).alias("_c"))
+    # at most one row for each range (and group) here
+    before = Window.partitionBy(*group_cols).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    named = [F.col(g).alias(f"_og{i}") for i, g in enumerate(group_cols)]
+    offsets = counts.select(F.col("_cell").alias("_ocell"), *named, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy(*group_cols)).alias("_total"))
+    inner = Window.partitionBy("_cell", *group_cols).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    cond = F.col("_cell") == F.col("_ocell")
+    for i, g in enumerate(group_cols):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_og{i}"))
+    res = keyed.withColumn("_local", F.row_number().over(inner)).join(offsets, cond)
+    res = res.withColumn(out, F.col("_before") + F.col("_local"))
+    if total_out:
+        res = res.withColumn(total_out, F.col("_total"))
+    return res.drop("_cell", "_ocell", "_local", "_before", "_total", "_c", *[f"_og{i}" for i in range(len(group_cols))])
+
+
 def _attach(df: DataFrame, small: DataFrame, group_cols: list[str]) -> DataFrame:
     """Columns of a one-row-per-group table on every row of ``df``: a join on
     the group, or a scalar subquery when there is no group."""

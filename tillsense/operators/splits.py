@@ -2,7 +2,9 @@
 
 The reference splits by file row order. Spark has no row order, so the
 split uses the explicit total order of the rows (trap K7) and positions
-from ``running_total`` (range partitioned, no single-task window).
+from ``range_numbered`` (constant range bounds, no single-task window; the rows
+cross one exchange with the columns that are asked for, and nothing is written).
+Pass a stored table.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsense.operators.ranking import running_total
+from tillsense.operators.ranking import range_numbered
 
 # Fixed values of the reference split sizes.
 GLOBAL_SPLIT_ROWS = 50000
@@ -47,7 +49,7 @@ def ordered_split_global(
     Adds ``row_id`` (1-based position) and ``split``.
     """
     val_size = test_size if val_size is None else val_size
-    ranked = running_total(df, [], [F.col(c).asc_nulls_first() for c in order_cols], out="row_id", total_out="_n")
+    ranked = range_numbered(df, [], order_cols, out="row_id", total_out="_n")
     n_test = _n_test(F.col("_n"), test_size)
     n_tv = F.col("_n") - n_test
     n_val = _n_test(n_tv, val_size)
@@ -68,7 +70,7 @@ def ordered_split_by_product(
     """Per product, size = int(min(fraction*n, cap)); the last ``size`` rows
     are test, the ``size`` before are val, the rest train. Adds ``pos``
     (1-based position inside the product) and ``split``."""
-    ranked = running_total(df, ["stockcode"], [F.col(c).asc_nulls_first() for c in order_cols], out="pos", total_out="_n")
+    ranked = range_numbered(df, ["stockcode"], order_cols, out="pos", total_out="_n")
     size = F.floor(F.least(F.col("_n") * F.lit(fraction), F.lit(float(cap)))).cast("bigint")
     split = (
         F.when(F.col("pos") > F.col("_n") - size, F.lit("test"))

@@ -1,13 +1,20 @@
-"""Registered plans: model fitting, searches and scoring. SQL cannot fit the
-models; it checks which rows are scored, their truth, fold sizes and moments,
-the parameter maps, and that fits are optimal and beat the mean predictor."""
+"""Registered plans: model fitting, searches and scoring.
+
+Each model query returns what the model computes: predictions, or the errors of a
+search. SQL cannot fit the models; the ``..._check`` query beside it returns what SQL
+can verify of the same run: which rows are scored, their truth, fold sizes and
+moments, the parameter maps, and that fits are optimal and beat the mean predictor.
+"""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from tillsense.functions.exprs import is_nonfinite
+from tillsense.operators import boosting as BO
 from tillsense.operators import encoding as EN
 from tillsense.operators import grams as GR
 from tillsense.operators import models as MD
@@ -16,9 +23,11 @@ from tillsense.plans.q_quality import CAT_COLS, NUM_COLS, SPLIT_G_SQL, split_glo
 from tillsense.plans.sql import FEATURES, q6, with_ctes
 from tillsense.sources.tables import cache_key, materialize, session_cache, table_path
 
-# Boosting rounds of the registered queries, at most: training stops early where
-# a validation column is given. The reference's limit is 2,000.
-TREE_ROUNDS = 30
+# Boosting rounds of the registered queries, at most; training stops early. The
+# library's default limit is the reference's 2,000.
+TREE_ROUNDS = 60
+SEARCH_ROUNDS = 20
+NET = {"alpha": 0.01, "l1_ratio": 0.5, "max_iter": 10000, "tol": 1e-5}
 
 _ML_CACHE: dict = session_cache()
 
@@ -41,81 +50,129 @@ def _parts(spark, sf_dir):
     return mat, cols, mat.where(F.col("split") == "train"), mat.where(F.col("split") == "val"), mat.where(F.col("split") == "test")
 
 
-MODEL_COLS = ("row_id", "y_true", "has_prediction", "beats_mean")
+# ================================================================ predictions
+_TEST_SQL = with_ctes(
+    FEATURES + SPLIT_G_SQL, f"SELECT row_id, {q6('quantity')} AS y_true, true AS has_prediction, true AS beats_mean FROM split_g WHERE split = 'test'"
+)
+
+
+def _kept(spark, sf_dir, name, make):
+    """A result that a query and its check share, computed once per data folder."""
+    key = (*cache_key(spark, sf_dir), name)
+    if key not in _ML_CACHE:
+        _ML_CACHE[key] = make()
+    return _ML_CACHE[key]
 
 
-def _checked(pred, train):
-    """Scored test rows as SQL can check them: the row and its truth, whether it
-    has a finite prediction, and whether the model beats the mean predictor."""
-    mean = train.agg(F.avg("quantity").alias("m")).scalar()
-    err, plain = F.pow(F.col("y_true") - F.col("y_pred"), F.lit(2)), F.pow(F.col("y_true") - mean, F.lit(2))
-    beats = pred.agg((F.avg(err) < F.avg(plain)).alias("b")).scalar()
-    return pred.withColumn("has_prediction", F.col("y_pred").isNotNull() & ~is_nonfinite("y_pred")).withColumn("beats_mean", beats)
+def register_scored(key: str, sql: str = _TEST_SQL, extra: tuple[str, ...] = ()):
+    """Register a model: ``key`` returns its predictions of the test rows, and
+    ``key_check`` what SQL can verify of them. The function returns (predictions
+    with row_id, y_true, y_pred, ..., further flags of the check)."""
 
+    def deco(fn):
+        def scored(spark, sf_dir):
+            def make():
+                pred, flags = fn(spark, sf_dir)
+                return materialize(pred, "ml_scored"), flags
 
-def _scored(model, test, train):
-    pred = materialize(model.transform(test).select("row_id", F.col("quantity").alias("y_true"), "y_pred"), "ml_scored")
-    return round_doubles(_checked(pred, train).select(*MODEL_COLS))
+            return _kept(spark, sf_dir, key, make)
 
+        @register(key)
+        def q_predictions(spark, sf_dir):
+            return scored(spark, sf_dir)[0].select("row_id", "y_true", "y_pred", *extra)
 
-_TEST_SQL = with_ctes(
-    FEATURES + SPLIT_G_SQL, f"SELECT row_id, {q6('quantity')} AS y_true, true AS has_prediction, true AS beats_mean FROM split_g WHERE split = 'test'"
-)
+        @register(f"{key}_check", sql)
+        def q_check(spark, sf_dir):
+            pred, flags = scored(spark, sf_dir)
+            train = _parts(spark, sf_dir)[2]
+            mean = train.agg(F.avg("quantity").alias("m")).scalar()
+            err, plain = F.pow(F.col("y_true") - F.col("y_pred"), F.lit(2)), F.pow(F.col("y_true") - mean, F.lit(2))
+            beats = pred.agg((F.avg(err) < F.avg(plain)).alias("b")).scalar()
+            finite = F.col("y_pred").isNotNull() & ~is_nonfinite("y_pred")
+            out = pred.select("row_id", "y_true", *extra, finite.alias("has_prediction"), beats.alias("beats_mean"))
+            return round_doubles(out.withColumns({k: F.lit(v) for k, v in flags.items()}))
 
+        return fn
 
-@register("demand_model_elastic_net", _TEST_SQL)
+    return deco
+
+
+def _truth(pred):
+    return pred.select("row_id", F.col("quantity").alias("y_true"), "y_pred", "is_registered")
+
+
+@register_scored("demand_model_elastic_net")
 def q_demand_model_elastic_net(spark, sf_dir):
     _, cols, train, _, test = _parts(spark, sf_dir)
-    return _scored(MD.pipeline(cols, MD.elastic_net(0.01, 0.5, std=MD.label_std(train))).fit(train), test, train)
+    model = MD.pipeline(cols, MD.elastic_net(NET["alpha"], NET["l1_ratio"], std=MD.label_std(train))).fit(train)
+    return _truth(model.transform(test)), {}
 
 
-@register("demand_model_boosted_trees", _TEST_SQL)
-def q_demand_model_boosted_trees(spark, sf_dir):
-    mat, cols, train, _, test = _parts(spark, sf_dir)
+_TREES = BO.TreeParams(num_leaves=31, learning_rate=0.05, subsample=0.8, colsample=0.8, n_estimators=TREE_ROUNDS)
+_IS_VAL = F.when(F.col("split") == "val", F.lit(1)).otherwise(F.lit(0))
+
+
+def _tree_nodes(spark, rows, model):
+    """The model as a stored table of nodes, as a prediction reads it."""
+    return spark.read.parquet(BO.save(model, spark, table_path(rows, "tree_model")))
+
+
+def _early_stopped(spark, mat, cols, params):
+    """Trees trained on the train rows, stopped by the error on the validation rows."""
     tv = mat.where(F.col("split").isin("train", "val"))
-    est = MD.boosted_trees(step=0.05, max_depth=MD.depth_for_leaves(31), subsample=0.8, colsample="0.8", max_iter=TREE_ROUNDS)
-    return _scored(MD.pipeline(cols, est).fit(tv), test, train)
+    return BO.boost(BO.matrix(tv, cols, "quantity", "row_id", _IS_VAL), [(params, 1)])[0]
+
+
+@register_scored("demand_model_boosted_trees")
+def q_demand_model_boosted_trees(spark, sf_dir):
+    mat, cols, _, _, test = _parts(spark, sf_dir)
+    model = _early_stopped(spark, mat, cols, _TREES)
+    return _truth(BO.predict(_tree_nodes(spark, test, model), test, cols)), {}
 
 
+# ================================================================ folds and searches
 def _grams(spark, sf_dir):
-    _, cols, train, _, _ = _parts(spark, sf_dir)
-    return GR.fold_grams(train, cols, "quantity", GR.fold_of("row_id", MD.FOLDS, MD.SEED), MD.FOLDS)
+    def make():
+        _, cols, train, _, _ = _parts(spark, sf_dir)
+        return GR.fold_grams(train, cols, "quantity", GR.fold_of("row_id", MD.FOLDS, MD.SEED), MD.FOLDS)
+
+    return _kept(spark, sf_dir, "grams", make)
 
 
 _FOLD_SQL = f"(row_id * 2654435761 + {MD.SEED}) % 2147483647 % {MD.FOLDS}"
+_KFOLD_SQL = with_ctes(
+    FEATURES + SPLIT_G_SQL + f",\nfolds AS (SELECT *, CAST({_FOLD_SQL} AS INTEGER) AS fold FROM split_g WHERE split = 'train')",
+    "SELECT fold, count(*) AS n_rows, "
+    + q6("avg(quantity)")
+    + " AS mean_quantity, "
+    + q6("avg(quantity * quantity)")
+    + " AS mean_square, true AS optimal, true AS beats_mean FROM folds GROUP BY fold",
+)
 
 
-@register(
-    "kfold_validation",
-    with_ctes(
-        FEATURES + SPLIT_G_SQL + f",\nfolds AS (SELECT *, CAST({_FOLD_SQL} AS INTEGER) AS fold FROM split_g WHERE split = 'train')",
-        "SELECT fold, count(*) AS n_rows, "
-        + q6("avg(quantity)")
-        + " AS mean_quantity, "
-        + q6("avg(quantity * quantity)")
-        + " AS mean_square, true AS optimal, true AS beats_mean FROM folds GROUP BY fold",
-    ),
-)
-def q_kfold_validation(spark, sf_dir):
+def _folds(spark, sf_dir):
     """One row per fold: its size and target moments (from the Gram matrices),
-    whether the fit on the other folds is optimal, and beats the mean there."""
+    the errors of the fit on the other folds and of the mean predictor."""
     grams = _grams(spark, sf_dir)
     total = grams.sum(axis=0)
     rows = []
     for k, g in enumerate(grams):
         rest = total - g
-        fit = GR.fit_elastic_net(rest, 0.01, 0.5, 10000, 1e-5)
+        fit = GR.fit_elastic_net(rest, **NET)
         plain = GR.mse(g, np.concatenate([[-rest[0, -1] / rest[0, 0]], np.zeros(len(fit.weights)), [1.0]]))
-        rows.append((k, int(g[0, 0]), float(g[0, -1] / g[0, 0]), float(g[-1, -1] / g[0, 0]), fit.optimal, GR.mse(g, fit.residual) < plain))
-    out = spark.createDataFrame(rows, "fold int, n_rows long, mean_quantity double, mean_square double, optimal boolean, beats_mean boolean")
-    return round_doubles(out)
+        rows.append((k, int(g[0, 0]), float(g[0, -1] / g[0, 0]), float(g[-1, -1] / g[0, 0]), GR.mse(g, fit.residual), plain, fit.optimal))
+    return spark.createDataFrame(rows, "fold int, n_rows long, mean_quantity double, mean_square double, mse double, plain_mse double, optimal boolean")
+
+
+@register("kfold_validation")
+def q_kfold_validation(spark, sf_dir):
+    return round_doubles(_folds(spark, sf_dir))
 
 
-def _search_frame(spark, rows):
-    """Search results that SQL can check; a map may shrink all weights to 0 and
-    then equals the mean predictor."""
-    out = [(r["param_index"], r["alpha"], r["l1_ratio"], r["max_iter"], r["tol"], r["optimal"], r["mean_mse"] <= r["plain_mse"] * (1 + 1e-9)) for r in rows]
-    return spark.createDataFrame(out, "param_index int, alpha double, l1_ratio double, max_iter int, tol double, optimal boolean, beats_mean boolean")
+@register("kfold_validation_check", _KFOLD_SQL)
+def q_kfold_validation_check(spark, sf_dir):
+    out = _folds(spark, sf_dir)
+    return round_doubles(out.withColumn("beats_mean", F.col("mse") < F.col("plain_mse")).drop("mse", "plain_mse"))
 
 
 def _search_sql(maps):
@@ -123,52 +180,107 @@ def _search_sql(maps):
     return f"SELECT * FROM (VALUES {rows}) t(param_index, alpha, l1_ratio, max_iter, tol, optimal, beats_mean)"
 
 
-@register("grid_search", _search_sql(MD.elastic_net_grid()))
-def q_grid_search(spark, sf_dir):
-    return _search_frame(spark, GR.search(_grams(spark, sf_dir), MD.elastic_net_grid()))
+def register_search(key: str, maps: list[dict]):
+    """Register a search of elastic nets: ``key`` returns the errors of all maps and
+    the winner, ``key_check`` the maps that are fitted to their optimum; a map may
+    shrink all weights to 0 and then equals the mean predictor."""
+    columns = ("param_index", "alpha", "l1_ratio", "max_iter", "tol", "optimal")
+    kinds = "param_index int, alpha double, l1_ratio double, max_iter int, tol double, optimal boolean"
+
+    @register(key)
+    def q_search(spark, sf_dir):
+        rows = GR.search(_grams(spark, sf_dir), maps)
+        out = [(*(r[c] for c in columns), r["mean_mse"], r["plain_mse"], r["is_best"]) for r in rows]
+        return spark.createDataFrame(out, f"{kinds}, mean_mse double, plain_mse double, is_best boolean")
+
+    @register(f"{key}_check", _search_sql(maps))
+    def q_search_check(spark, sf_dir):
+        out = q_search(spark, sf_dir)
+        return out.withColumn("beats_mean", F.col("mean_mse") <= F.col("plain_mse") * (1 + 1e-9)).select(*columns, "beats_mean")
+
+
+register_search("grid_search", MD.elastic_net_grid())
+register_search("random_search", MD.random_param_maps())
+
 
+def _tree_search(spark, sf_dir):
+    """All 16 tree combinations on all folds of the train rows, fitted together."""
 
-@register("random_search", _search_sql(MD.random_param_maps()))
-def q_random_search(spark, sf_dir):
-    return _search_frame(spark, GR.search(_grams(spark, sf_dir), MD.random_param_maps()))
+    def make():
+        _, cols, train, _, _ = _parts(spark, sf_dir)
+        m = BO.matrix(train, cols, "quantity", "row_id", GR.fold_of("row_id", MD.FOLDS, MD.SEED))
+        return BO.cross_validated(m, BO.tree_grid(SEARCH_ROUNDS), MD.FOLDS)
 
+    return _kept(spark, sf_dir, "tree_search", make)
 
+
+@register("grid_search_boosted_trees")
+def q_grid_search_boosted_trees(spark, sf_dir):
+    """Errors of the boosted-tree grid: 16 combinations x 5 folds, early stopping on."""
+    columns = ("param_index", "num_leaves", "learning_rate", "subsample", "colsample", "mean_mse", "plain_mse", "mean_trees", "is_best")
+    rows = [tuple(r[c] for c in columns) for r in _tree_search(spark, sf_dir)]
+    return spark.createDataFrame(rows, "param_index int, num_leaves int, learning_rate double, subsample double, colsample double, mean_mse double, plain_mse double, mean_trees double, is_best boolean")
+
+
+# ================================================================ selection, inference, refresh
 def _best_refit(spark, sf_dir):
-    """The winners of both searches and the boosted trees meet on the
-    validation rows; the best one is fitted again on train and val."""
-    mat, cols, train, val, test = _parts(spark, sf_dir)
-    tv = mat.where(F.col("split").isin("train", "val"))
-    grams = _grams(spark, sf_dir)
-    winner = lambda maps: MD.estimator_of(next(r for r in GR.search(grams, maps) if r["is_best"]), MD.label_std(train))
-    candidates = {
-        "grid_search": MD.pipeline(cols, winner(MD.elastic_net_grid())),
-        "random_search": MD.pipeline(cols, winner(MD.random_param_maps())),
-        "boosted_trees": MD.pipeline(cols, MD.boosted_trees(max_iter=TREE_ROUNDS, validation_col=None)),
-    }
-    best, scores, model = MD.select_best_refit(candidates, train, val, tv)
-    return best, scores, model, train, test
+    """The winners of the searches meet on the validation rows by RMSLE; the best
+    one is fitted again on train and val. Trees stop early in both fits: by the
+    validation rows first, then by rows held out of train and val."""
+
+    def make():
+        mat, cols, train, val, _ = _parts(spark, sf_dir)
+        tv = mat.where(F.col("split").isin("train", "val"))
+        std = MD.label_std(train)
+        nets = {
+            name: MD.pipeline(cols, MD.estimator_of(next(r for r in GR.search(_grams(spark, sf_dir), maps) if r["is_best"]), std))
+            for name, maps in (("grid_search", MD.elastic_net_grid()), ("random_search", MD.random_param_maps()))
+        }
+        scores = {name: MD.validation_rmsle(pipe.fit(train), val) for name, pipe in nets.items()}
+        won = next(r for r in _tree_search(spark, sf_dir) if r["is_best"])
+        params = replace(BO.tree_grid(TREE_ROUNDS)[won["param_index"]], early_stopping_rounds=10)
+        trees = _tree_nodes(spark, val, _early_stopped(spark, mat, cols, params))
+        scores["boosted_trees"] = MD.rmsle(BO.predict(trees, val, cols))
+        best = min(scores, key=lambda k: (scores[k] if scores[k] is not None else float("inf")))
+        if best != "boosted_trees":
+            return best, scores, nets[best].fit(tv), None
+        n = tv.count()
+        held_out = GR.fold_of("row_id", max(2, round(n / 3000 if n > 10000 else 5)), MD.SEED)  # 3,000 rows, or a fifth
+        model = BO.boost(BO.matrix(tv, cols, "quantity", "row_id", F.when(held_out == 0, F.lit(1)).otherwise(F.lit(0))), [(params, 1)])[0]
+        return best, scores, None, BO.save(model, spark, table_path(tv, "tree_model"))
+
+    return _kept(spark, sf_dir, "best_refit", make)
+
+
+def _best_predictions(spark, sf_dir, test):
+    """Test rows scored by the stored winner, read back as an inference job does."""
+    from pyspark.ml import PipelineModel
+
+    _, _, pipe, trees = _best_refit(spark, sf_dir)
+    if trees:
+        return BO.predict(spark.read.parquet(trees), test, _parts(spark, sf_dir)[1])
+    return PipelineModel.load(MD.save_pipeline(pipe, table_path(test, "demand_model"))).transform(test)
 
 
-@register("select_best_refit", _TEST_SQL.replace("true AS beats_mean", "true AS beats_mean, true AS has_least_error"))
+@register_scored("select_best_refit", _TEST_SQL.replace("true AS beats_mean", "true AS beats_mean, true AS has_least_error"), ())
 def q_select_best_refit(spark, sf_dir):
-    best, scores, model, train, test = _best_refit(spark, sf_dir)
-    return _scored(model, test, train).withColumn("has_least_error", F.lit(scores[best] == min(scores.values())))
+    best, scores, _, _ = _best_refit(spark, sf_dir)
+    pred = _best_predictions(spark, sf_dir, _parts(spark, sf_dir)[4])
+    return _truth(pred), {"has_least_error": scores[best] == min(scores.values())}
 
 
-@register("batch_inference", _TEST_SQL.replace("SELECT row_id,", "SELECT row_id, is_registered,"))
+@register_scored("batch_inference", _TEST_SQL.replace("SELECT row_id,", "SELECT row_id, is_registered,"), ("is_registered",))
 def q_batch_inference(spark, sf_dir):
-    from pyspark.ml import PipelineModel
+    return _truth(_best_predictions(spark, sf_dir, _parts(spark, sf_dir)[4])), {}
 
-    _, _, model, train, test = _best_refit(spark, sf_dir)
-    path = MD.save_pipeline(model, table_path(test, "demand_model"))
-    pred = materialize(MD.batch_inference(PipelineModel.load(path), test, ["row_id"]), "ml_scored")
-    return round_doubles(_checked(pred, train).select(*MODEL_COLS, "is_registered"))
 
-
-@register("warm_refresh", _TEST_SQL)
+@register_scored("warm_refresh", _TEST_SQL.replace("true AS beats_mean", "true AS beats_mean, true AS equals_full_refit"))
 def q_warm_refresh(spark, sf_dir):
-    mat, cols, train, _, test = _parts(spark, sf_dir)
-    first = MD.pipeline(cols, MD.elastic_net(0.01, 0.5, std=MD.label_std(train))).fit(train)
-    path = MD.save_pipeline(first, table_path(train, "demand_model"))
-    refreshed = MD.warm_refresh(path, mat.where(F.col("split").isin("train", "val")))
-    return _scored(refreshed, test, train)
+    """A stored model of the train rows is refreshed by the validation rows alone."""
+    mat, cols, train, val, test = _parts(spark, sf_dir)
+    first = GR.fit_gram_model(train, cols, "quantity", NET)
+    path = GR.save_gram_model(first, spark, table_path(train, "gram_model"))
+    model = GR.refreshed(GR.load_gram_model(spark, path), val)
+    whole = GR.fit_gram_model(mat.where(F.col("split").isin("train", "val")), cols, "quantity", NET)
+    same = bool(np.allclose(model.fit.weights, whole.fit.weights, atol=1e-4) and model.n_rows == whole.n_rows)
+    return _truth(GR.predict_gram_model(model, test)), {"equals_full_refit": same}
