@@ -109,7 +109,15 @@ def test_ngram_join_of_odd_rows(odd, none):
     assert ngram_join.similar_components(none).count() == 0
     kept = ngram_join.one_of_each(odd)
     assert kept.columns == odd.columns
-    assert Counter(r["doc_id"] for r in kept.collect()) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 1, 8: 1, None: 2}
+    # the row without doc_id that has words is a copy of document 1
+    assert Counter(r["doc_id"] for r in kept.collect()) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 1, 8: 1, None: 1}
+
+
+def test_rows_that_share_a_doc_id_or_have_none_are_told_by_their_texts(docs_of):
+    a, b, c = ("one two three four five six seven", "a b c d e f g h", "k l m n o p q r s")
+    rows = [(1, a, "en", "s"), (1, b, "en", "s"), (1, b, "en", "s"), (None, b, "en", "s"), (None, c, "en", "s"), (None, c, "en", "t"), (4, c, "en", "s")]
+    kept = ngram_join.one_of_each(docs_of(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("1", a), ("1", b), ("4", c)])
 
 
 def char_set(line):

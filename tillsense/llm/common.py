@@ -9,10 +9,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +21,8 @@ from tillsense.sources.tables import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 
-#: Bits of the filter of :func:`id_filter`: 2 MB.
-FILTER_BITS = 2**24
+#: Bits of the filter of :func:`id_filter`: 128 KB.
+FILTER_BITS = 2**20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,24 +105,24 @@ def prefix_sums(df: DataFrame, group: list[str], key: str, tie: list[str], weigh
     return rows.join(starts, ["_g", "_c"]).withColumn(out, (F.col("_start") + F.col("_in")).cast("long")).drop("_g", "_c", "_in", "_start")
 
 
+def constant(values) -> Column:
+    """A constant array of whole numbers (parsed once, when the plan is made)."""
+    return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<bigint>")
+
+
 def id_filter(ids: DataFrame, column: str):
-    """A pandas UDF that is true for all of ``ids`` and for few others: a filter
-    of ``FILTER_BITS`` bits, whatever the number of ids."""
+    """A condition on a column that is true for all of ``ids`` and, up to about a
+    million of them, for few others: a constant of ``FILTER_BITS`` bits, tested
+    in the JVM. (Beyond that Spark's own Bloom filter joins set in.)"""
     bit = F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS))
-    rows = (
-        ids.select(bit.alias("_b"))
-        .groupBy(F.shiftright("_b", 5).cast("int").alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 32 as int))")).alias("m"))
-        .toPandas()
-    )
-    words = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
-    words[rows["w"].to_numpy(np.int64)] = rows["m"].to_numpy(np.int64).astype(np.uint32)
-    shared = ids.sparkSession.sparkContext.broadcast(words)
-
-    @F.pandas_udf("boolean")
-    def maybe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            v = b.to_numpy(np.int64)
-            yield pd.Series((shared.value[v >> 5] >> (v & 31).astype(np.uint32) & 1).astype(bool))
-
-    return lambda c: maybe(F.pmod(F.xxhash64(F.col(c)), F.lit(FILTER_BITS)))
+    marked = ids.select(F.floor(bit / 64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("m"))
+    words = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for r in marked.groupBy("w").agg(F.bit_or("m").alias("m")).collect():  # FILTER_BITS / 64 numbers at most
+        words[r["w"]] = r["m"]
+    table = constant(words)
+
+    def maybe(c: str) -> Column:
+        at = F.pmod(F.xxhash64(F.col(c)), F.lit(FILTER_BITS))
+        return F.call_function("bit_get", F.get(table, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
+
+    return maybe

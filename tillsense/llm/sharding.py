@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsense.llm.common import hash_cells, md5_key, prefix_sums, stored
+from tillsense.llm.common import constant, hash_cells, md5_key, prefix_sums, stored
 
 RING = 2**32
 SALT = "ring"
@@ -85,11 +85,6 @@ def bounded_ranges(loads: np.ndarray, owner: np.ndarray, shards: int) -> pd.Data
     return pd.DataFrame(sorted(out), columns=["arc", "lo", "shard", "slot"])
 
 
-def constant(values: np.ndarray) -> Column:
-    """A constant array of whole numbers (parsed once, when the plan is made)."""
-    return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<bigint>")
-
-
 def count_below(values: np.ndarray, x: Column) -> Column:
     """How many of the sorted ``values`` are below ``x``: a binary search in the JVM."""
     table = constant(values)
