@@ -53,6 +53,12 @@ def test_language_of_odd_rows(odd, none, docs_of):
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} >= {1, 5, 8, 9}
 
 
+def test_number_signs_are_no_letters(docs_of):
+    rows = [(i, "the cat and the dog", "en", "a") for i in range(10)] + [(20, "²½ ①", "en", "a"), (21, "_ 5 é", "en", "a"), (22, "٣ Ⅷ", "en", "a")]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_documents(docs_of(rows)).collect()}
+    assert (got[20], got[21], got[22]) == ("und", "en", "und")
+
+
 def brute_edited(rows):
     out = {}
     order = sorted(rows, key=lambda r: -r[0])

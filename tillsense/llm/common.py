@@ -35,7 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 #: Bytes of rows that a Python worker gets at a time.
-BATCH_BYTES = 8 * 2**20
+BATCH_BYTES = 4 * 2**20
 
 
 def small_batches(df: DataFrame) -> None:
@@ -54,7 +54,7 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def text_batches(pdf, rows: int = 2000, chars: int = 2_000_000):
+def text_batches(pdf, rows: int = 1000, chars: int = 500_000):
     """Slices of a pandas batch with a bounded number of rows and characters
     (one longer text is a slice of its own)."""
     sizes = [len(t) if isinstance(t, str) else 0 for t in pdf["text"]]

@@ -40,12 +40,16 @@ MIN_SCORE = 0.5
 FOLDS, HELD_OUT = 5, 0
 
 #: Characters scored at a time: an n-gram takes some 50 bytes for each language.
-SLICE = 400_000
+SLICE = 100_000
 
-_LETTER = re.compile(r"[^\W\d_]")
 _BLANK = re.compile(r"\s+")
 
 
+def has_letter(text: str) -> bool:
+    """Whether some character is a letter (number signs are none)."""
+    return any(map(str.isalpha, text))
+
+
 def hashed_ngrams(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(indexes, pointers): the buckets of all n-grams of text ``i`` are
     ``indexes[pointers[i]:pointers[i + 1]]``. Every text is framed by blanks."""
@@ -75,6 +79,11 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string")) % folds
 
 
+def held_out() -> Column:
+    """Rows that are not learnt from; rows without a doc_id are."""
+    return F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
+
+
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log-probabilities[buckets, languages]) from the rows of
     ``docs`` (text, lang) that have both."""
@@ -131,7 +140,7 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
             score = np.zeros(len(series))
             pdf = pd.DataFrame({"text": texts_of(series), "at": np.arange(len(series))})
             for part in text_batches(pdf, chars=SLICE):
-                part = part[[bool(_LETTER.search(t)) for t in part["text"]]]
+                part = part[[has_letter(t) for t in part["text"]]]
                 if len(part) and langs:
                     p = score_batch(part["text"].tolist(), model.value)
                     best = p.argmax(axis=1)
@@ -145,13 +154,12 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray) -> DataFrame:
 def identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is known: those with a letter and a
     score of at least ``min_score``. Learns from the rows that have a lang."""
-    langs, logp = train(docs.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+    langs, logp = train(docs.filter(~held_out()))
     keep = predict(docs.select(F.struct("*").alias("_row"), "text"), langs, logp)  # whatever its columns are called
     return keep.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("_row.*")
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:
     """The digest of language identification over a documents table."""
-    held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    langs, logp = train(docs.filter(~held_out))
-    return predict(docs.select("doc_id", "text", held_out.alias("held_out")), langs, logp).drop("text")
+    langs, logp = train(docs.filter(~held_out()))
+    return predict(docs.select("doc_id", "text", held_out().alias("held_out")), langs, logp).drop("text")
