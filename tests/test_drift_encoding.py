@@ -55,3 +55,49 @@ def test_binary_encoder_rules(spark):
     assert [out[9][f"cat__c_{k}"] for k in range(3)] == [0.0, 1.0, 0.0]
     assert [out[10][f"cat__c_{k}"] for k in range(3)] == [0.0, 0.0, 0.0]
     assert np.isclose(out[10]["num__v"], (6.0 - imputed.mean()) / imputed.std())
+
+
+def _categories(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id long, a string, b string").repartition(3)
+
+
+def test_a_second_fit_keeps_old_ordinals(spark, tmp_path):
+    path = str(tmp_path / "dictionary")
+    first = _categories(spark, [("x", "1"), ("y", None), ("x", "2")])
+    second = _categories(spark, [("z", "2"), ("y", "3"), ("w", "1"), ("z", "0")])
+    read = lambda d: {(r["column_name"], r["category"]): r["ordinal"] for r in d.collect()}
+    old = read(EN.extend_dictionary(first, ["a", "b"], path, "v1"))
+    assert old == {("a", "x"): 1, ("a", "y"): 2, ("b", "1"): 1, ("b", "2"): 2}
+    new = old | {("a", "z"): 3, ("a", "w"): 4, ("b", "3"): 3, ("b", "0"): 4}
+    assert read(EN.extend_dictionary(second, ["a", "b"], path, "v2")) == new
+    assert read(EN.extend_dictionary(second, ["a", "b"], path, "v2")) == new  # a retry
+    m = EN.with_dictionary(EN.ColumnTransformModel([], ["a", "b"]), spark.read.parquet(path))
+    assert m.digits == {"a": 3, "b": 3}
+    got = {r["row_id"]: "".join(str(int(r[f"cat__a_{k}"])) for k in range(3)) for r in EN.transform(second, m, ["row_id"]).collect()}
+    assert got == {0: "011", 1: "010", 2: "100", 3: "011"}
+
+
+def test_columns_with_few_categories_are_mapped_without_a_join(spark):
+    few = [f"é{i % 5}" if i % 7 else None for i in range(400)]
+    many = [f"m{i}" if i % 3 else None for i in range(400)]
+    df = _categories(spark, list(zip(few, many, strict=True)))
+    m = EN.fit_column_transform(df, [], ["a", "b"])
+    assert set(m.small) == {"a"}
+    mapped = EN.transform(df, m, ["row_id"])
+    m.small = {}
+    joined = EN.transform(df, m, ["row_id"])
+    assert mapped.exceptAll(joined).count() == 0 and mapped.count() == joined.count() == 400
+    m = EN.fit_column_transform(df, [], ["a"])
+    assert "Join" not in EN.transform(df, m, ["row_id"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_nonfinite_cells_of_all_columns(spark):
+    from tillsense.operators import quality as QU
+
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, 1.0, 2.0, 0.0) for i in range(50)]
+    rows[30], rows[7], rows[9], rows[40] = (30, nan, 2.0, inf), (7, 1.0, -inf, nan), (9, 1.0, 2.0, nan), (40, nan, nan, nan)
+    df = spark.createDataFrame(rows, "row_id long, num__x double, num__y double, cat__c_0 double").repartition(4)
+    got = [tuple(r) for r in QU.nonfinite_positions(df, ["num__x", "num__y", "cat__c_0"]).collect()]
+    assert got == [(7, 1, "num__y"), (7, 2, "cat__c_0"), (9, 2, "cat__c_0"), (30, 0, "num__x"), (30, 2, "cat__c_0")]
+    assert QU.nonfinite_positions(df.where("row_id < 5"), ["num__x"]).collect() == []

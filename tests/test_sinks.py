@@ -13,7 +13,7 @@ from tillsense.operators import features as FE
 from tillsense.operators import quality as QU
 from tillsense.plans.catalog import round_doubles
 from tillsense.sources import sinks as SK
-from tillsense.sources.retail import scan_transactions
+from tillsense.sources.retail import scan_transactions, scan_transactions_checked
 from tillsense.sources.tables import drop_session_tables, materialize, session_cache, table_path
 
 
@@ -41,6 +41,47 @@ def test_price_curve_cache_expires(spark):
     assert hits == ["p"]
 
 
+def _curve(spark, products, price):
+    return spark.createDataFrame([(p, float(b), price * b) for p in products for b in range(3)], "stockcode string, bin double, sales double")
+
+
+def _stored(spark, path):
+    return sorted((r.stockcode, r.bin, r.sales) for r in SK.read_price_curves(spark, path).collect())
+
+
+def test_stored_curve_is_replaced_and_not_doubled(spark):
+    path = table_path(_curve(spark, "p", 1.0), "curves")
+    h = F.sha2(F.col("stockcode"), 256)
+    names = [f"p{i}" for i in range(40)]
+    SK.store_price_curves(_curve(spark, names, 1.0), h, 1000.0, path)
+    SK.store_price_curves(_curve(spark, names[:5], 9.0).where("bin < 2"), h, 2000.0, path)
+    expected = [(p, float(b), (9.0 if p in names[:5] else 1.0) * b) for p in names for b in range(2 if p in names[:5] else 3)]
+    assert _stored(spark, path) == sorted(expected)
+
+
+def test_expired_curves_are_swept(spark):
+    path = table_path(_curve(spark, "p", 1.0), "curves")
+    h = F.sha2(F.col("stockcode"), 256)
+    SK.store_price_curves(_curve(spark, ["a", "b", "c"], 1.0), h, 0.0, path)
+    SK.store_price_curves(_curve(spark, ["c", "d"], 2.0), h, 3000.0, path)
+    assert SK.sweep_price_curves(spark, path, 3600.0) == 6
+    assert {r[0] for r in _stored(spark, path)} == {"c", "d"}
+    assert SK.sweep_price_curves(spark, path, 3600.0) == 0
+    # storing sweeps the partitions that it rewrites
+    SK.store_price_curves(_curve(spark, ["c"], 3.0), h, 10000.0, path)
+    assert [r for r in _stored(spark, path) if r[0] == "c"] == [("c", 0.0, 0.0), ("c", 1.0, 3.0), ("c", 2.0, 6.0)]
+
+
+def test_lookup_prunes_partitions(spark):
+    path = table_path(_curve(spark, "p", 1.0), "curves")
+    h = F.sha2(F.col("stockcode"), 256)
+    store = SK.store_price_curves(_curve(spark, [f"p{i}" for i in range(50)], 1.0), h, 1000.0, path)
+    req = spark.createDataFrame([("p7", 1500.0)], "stockcode string, request_time double").withColumn("params_hash", h)
+    hits = SK.cached_price_curves(store, req)
+    assert [r.stockcode for r in hits.collect()] == ["p7"] * 3
+    assert "dynamicpruning" in hits._jdf.queryExecution().executedPlan().toString()
+
+
 def test_write_splits_partitioned(spark):
     s = spark.createDataFrame([(1, "train"), (2, "val"), (3, "test")], "row_id long, split string")
     back = SK.write_splits(s)
@@ -148,3 +189,25 @@ def test_features_of_a_union_and_of_dates_after_2001(spark):
     got = {r.invoiceno: r for r in round_doubles(FE.transactions_features(a.unionByName(b))).collect()}
     assert got["1"].invoicedate == 1291192007.0 and got["2"].invoicedate == 1294221613.0
     assert got["3"].unitprice == 3.0 and got["2"].product_avg_quantity_last_month == 1.0
+
+
+def test_unreadable_fields_and_broken_lines_are_counted(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text(
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+        "1,a,x,3,2010-12-01 08:26:00,2.5,17850.0,UK\n"
+        "2,b,x,many,12/1/2010 8:26,n/a,,UK\n"
+        "3,c,x\n"
+        "4,d,x,1,31/31/1999,abc,5,FR\n"
+        "5,e,x,2,2010-12-01 08:26:00,1.0,5,FR,one,more\n"
+        "6,f,x,,,NaN,,\n"
+    )
+    rows, bad = scan_transactions_checked(spark, str(path))
+    got = {r["invoiceno"]: (r["quantity"], str(r["invoicedate"]), r["unitprice"], r["customerid"]) for r in rows.collect()}
+    assert got == {
+        "1": (3.0, "2010-12-01 08:26:00", 2.5, "17850"), "2": (None, "2010-12-01 08:26:00", None, None),
+        "4": (1.0, "None", None, "5"), "6": (None, "None", None, None),
+    }
+    assert sorted((r["reason"], r["line"][:1]) for r in bad.collect()) == [
+        ("bad_date", "4"), ("bad_quantity", "2"), ("bad_unitprice", "4"), ("broken_line", "3"), ("broken_line", "5"),
+    ]

@@ -180,3 +180,22 @@ def test_j11_samples_1200_rows_a_product(spark):
         want = sorted((hashlib.md5(f"{i}|42".encode()).hexdigest(), m) for p, i, m in rows if p == product)[:size]
         assert [n for n, _ in sorted(got[product])] == list(range(1, size + 1))
         assert all(math.isclose(m, math.log1p(w)) for (_, m), (_, w) in zip(sorted(got[product]), want, strict=True))
+
+
+def test_corner_failover_is_the_failover_of_all_scored_rows(spark):
+    """Overflow, underflow, missing fits and missing momenta of some products."""
+    fits = {"ok": (-1.0, 0.1, 2.0), "over": (300.0, 1.0, 2.0), "under": (-400.0, 0.0, 1.0), "none": (None, 0.1, 1.0), "late": (0.0, 400.0, 1.0), "gap": (0.5, 0.1, 1.0)}
+    per = spark.createDataFrame(
+        [(p, 2.0, 20.0, *f, 0.5, 0.1, 1.0) for p, f in fits.items()],
+        "stockcode string, price_lo double, price_hi double, slope double, momentum_weight double, intercept double, global_slope double, global_momentum_weight double, global_intercept double",
+    )
+    sample = spark.createDataFrame(
+        [(p, i, float(i) / 2 if p != "gap" or i else None) for p in fits for i in range(5)], "stockcode string, sample_no int, momentum double"
+    )
+    for bins in (1, 7):
+        flags = {r.stockcode: r.use_backup for r in PR.corner_failover(per, sample, bins).collect()}
+        fit = [c for c in per.columns if "price" not in c and c != "stockcode"]
+        rows = PR.price_grid(per.join(sample, "stockcode"), bins, carry=["sample_no", "momentum", *fit])
+        scored = PR.score_failover(PR._predictions(rows))
+        assert flags == {r.stockcode: r.use_backup for r in scored.select("stockcode", "use_backup").distinct().collect()}
+        assert not flags["ok"] and flags["none"] and flags["gap"] and flags["under"]

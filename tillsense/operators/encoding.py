@@ -12,14 +12,18 @@ tables stay distributed and are joined (AQE broadcasts the small ones).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsense.operators.ranking import exact_median, running_total
 from tillsense.sources.tables import materialize
 
+#: Columns with more categories are joined with them.
+MAP_LIMIT = 128
+SEPARATOR = "\x01"
+
 
 @dataclass
 class ColumnTransformModel:
@@ -30,6 +34,7 @@ class ColumnTransformModel:
     stds: dict[str, float | None] = field(default_factory=dict)
     digits: dict[str, int] = field(default_factory=dict)
     ordinals: DataFrame | None = None  # column_name, category, ordinal
+    small: dict[str, dict[str, int]] = field(default_factory=dict)  # columns with few categories
 
     def output_columns(self) -> list[str]:
         return [f"num__{c}" for c in self.num_cols] + [
@@ -74,16 +79,19 @@ def n_digits(n_categories: int) -> int:
     return (n_categories - 1).bit_length() + 1
 
 
+def _first_positions(rows: DataFrame, cat_cols: Sequence[str], order_col: str) -> DataFrame:
+    """(column_name, category, first_pos) of every category."""
+    long = rows.select(order_col, *[F.col(c).cast("string").alias(c) for c in cat_cols]).unpivot(
+        [order_col], list(cat_cols), "column_name", "category"
+    )
+    return long.where(F.col("category").isNotNull()).groupBy("column_name", "category").agg(F.min(order_col).alias("first_pos"))
+
+
 def fit_ordinals(train: DataFrame, cat_cols: Sequence[str], order_col: str = "row_id") -> DataFrame:
     """Category -> ordinal 1..n in order of first appearance in ``train``,
     for every categorical column at once (column_name, category, ordinal,
     n_categories)."""
-    long = train.select(order_col, *[F.col(c).cast("string").alias(c) for c in cat_cols]).unpivot(
-        [order_col], list(cat_cols), "column_name", "category"
-    )
-    first = long.where(F.col("category").isNotNull()).groupBy("column_name", "category").agg(
-        F.min(order_col).alias("first_pos")
-    )
+    first = _first_positions(train, cat_cols, order_col)
     return running_total(first, ["column_name"], [F.col("first_pos")], out="ordinal", total_out="n_categories").drop("first_pos")
 
 
@@ -105,9 +113,57 @@ def fit_column_transform(
         m.ordinals = materialize(ords, "category_ordinals", partition_cols=["column_name"])
         counts = {r["column_name"]: r["n"] for r in m.ordinals.groupBy("column_name").agg(F.max("n_categories").alias("n")).collect()}
         m.digits = {c: n_digits(counts.get(c, 0)) for c in cat_cols}
+        m.small = _small_columns(m.ordinals, {c: counts.get(c, 0) for c in cat_cols})
     return m
 
 
+def _small_columns(ordinals: DataFrame, counts: dict[str, int]) -> dict[str, dict[str, int]]:
+    """The categories of the columns with ``MAP_LIMIT`` at most, on the driver."""
+    few = [c for c, n in counts.items() if n <= MAP_LIMIT]
+    out: dict[str, dict[str, int]] = {c: {} for c in few}
+    for r in ordinals.where(F.col("column_name").isin(few)).select("column_name", "category", "ordinal").collect() if few else []:
+        out[r["column_name"]][r["category"]] = r["ordinal"]
+    return {c: v for c, v in out.items() if not any(SEPARATOR in k for k in v)}
+
+
+def _mapped(col: str, categories: dict[str, int]) -> Column:
+    """The ordinal of a value by a constant map (NULL: none)."""
+    if not categories:
+        return F.lit(None).cast("bigint")
+    keys = F.split(F.lit(SEPARATOR.join(categories)), SEPARATOR)
+    values = F.split(F.lit(SEPARATOR.join(map(str, categories.values()))), SEPARATOR).cast("array<bigint>")
+    return F.try_element_at(F.map_from_arrays(keys, values), F.col(col).cast("string"))
+
+
+def extend_dictionary(rows: DataFrame, cat_cols: Sequence[str], path: str, version: str, order_col: str = "row_id") -> DataFrame:
+    """The dictionary stored at ``path`` (column_name, category, ordinal), extended
+    by the categories of ``rows`` that it does not have: these are numbered on
+    from its greatest ordinal, in order of first appearance, and appended as
+    ``version`` (storing a version again replaces its part only)."""
+    spark = rows.sparkSession
+    known = spark.createDataFrame([], "column_name string, category string, ordinal bigint")
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(sc._jsc.hadoopConfiguration()).exists(folder):
+        known = spark.read.parquet(path).where(F.col("version") != version).select("column_name", "category", "ordinal")
+    first = _first_positions(rows, cat_cols, order_col).join(known, ["column_name", "category"], "left_anti")
+    numbered = running_total(first, ["column_name"], [F.col("first_pos")], out="ordinal")
+    start = known.groupBy("column_name").agg(F.max("ordinal").alias("_start"))
+    fresh = numbered.join(start, "column_name", "left").select(
+        "column_name", "category", (F.col("ordinal") + F.coalesce("_start", F.lit(0))).cast("bigint").alias("ordinal"), F.lit(version).alias("version")
+    )
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
+    return spark.read.parquet(path).select("column_name", "category", "ordinal")
+
+
+def with_dictionary(m: ColumnTransformModel, dictionary: DataFrame) -> ColumnTransformModel:
+    """The model with the ordinals of a stored dictionary (and as many digits as
+    these need)."""
+    counts = {r["column_name"]: r["n"] for r in dictionary.groupBy("column_name").agg(F.max("ordinal").alias("n")).collect()}
+    own = {c: counts.get(c, 0) for c in m.cat_cols}
+    return replace(m, ordinals=dictionary, digits={c: n_digits(n) for c, n in own.items()}, small=_small_columns(dictionary, own))
+
+
 def scaled(col: str, mean: float | None, std: float | None, median: float | None):
     """(x - mean) / std with median imputation, std 0 -> divisor 1."""
     x = F.coalesce(F.col(col).cast("double"), F.lit(median))
@@ -120,6 +176,9 @@ def transform(df: DataFrame, m: ColumnTransformModel, keep: Sequence[str] = ())
     (most significant first, unseen/missing -> all zeros), then ``keep``."""
     out = df
     for c in m.cat_cols:
+        if c in m.small:
+            out = out.withColumn(f"_ord_{c}", _mapped(c, m.small[c]))
+            continue
         o = m.ordinals.where(F.col("column_name") == c).select(
             F.col("category").alias(f"_cat_{c}"), F.col("ordinal").alias(f"_ord_{c}")
         )

@@ -166,11 +166,34 @@ def cross_sample_prices(sample: DataFrame, grid: DataFrame) -> DataFrame:
     return sample.join(grid, "stockcode")
 
 
-def _predictions(df: DataFrame) -> DataFrame:
-    lx = F.log1p(F.col("unit_price"))
-    def of(g):
-        return F.col(f"{g}intercept") + F.col(f"{g}slope") * lx + F.col(f"{g}momentum_weight") * F.col("momentum")
-    return df.select("stockcode", "bin", "unit_price", "sample_no", of("").alias("y_primary"), of("global_").alias("y_backup"))
+def plane(price, at_momentum, g: str = ""):
+    """The demand plane ``g`` at a price and a momentum."""
+    return F.col(f"{g}intercept") + F.col(f"{g}slope") * F.log1p(price) + F.col(f"{g}momentum_weight") * at_momentum
+
+
+def _predictions(df: DataFrame, *carry: str) -> DataFrame:
+    price, m = F.col("unit_price"), F.col("momentum")
+    return df.select("stockcode", "bin", "unit_price", "sample_no", plane(price, m).alias("y_primary"), plane(price, m, "global_").alias("y_backup"), *carry)
+
+
+def unusable(y):
+    """A prediction that is missing or whose exponential is Inf, NaN or 0."""
+    return y.isNull() | is_nonfinite(F.exp(y)) | (F.exp(y) == 0.0)
+
+
+def corner_failover(per: DataFrame, sample: DataFrame, num_price_bins: int = DEFAULT_PRICE_BINS) -> DataFrame:
+    """J10 for planes: ``per`` (one row a product: price bounds and fits) with
+    ``use_backup``. A plane is monotone in log price and in momentum, so over a
+    product's grid and sample it is least and greatest at corners, which are
+    scored rows themselves: some prediction is unusable if one of them is."""
+    m = F.col("momentum")
+    ends = sample.groupBy("stockcode").agg(F.min(m).alias("_m_lo"), F.max(m).alias("_m_hi"), F.bool_or(m.isNull() | F.isnan(m)).alias("_m_none"))
+    prices = ["price_lo"] if num_price_bins == 1 else ["price_lo", "price_hi"]
+    bad = F.col("_m_none")
+    for p in prices:
+        for at in ("_m_lo", "_m_hi"):
+            bad = bad | unusable(plane(F.col(p), F.col(at)))
+    return per.join(ends, "stockcode").withColumn("use_backup", bad).drop("_m_lo", "_m_hi", "_m_none")
 
 
 def score_failover(scored: DataFrame, primary: str = "y_primary", backup: str = "y_backup", group: str = "stockcode") -> DataFrame:
@@ -180,8 +203,7 @@ def score_failover(scored: DataFrame, primary: str = "y_primary", backup: str =
     The per-product flag is an aggregate (bool_or, combined map-side) joined
     back on the key, so a hot product is not funnelled into one task.
     """
-    bad_row = F.col(primary).isNull() | is_nonfinite(F.exp(F.col(primary))) | (F.exp(F.col(primary)) == 0.0)
-    flags = scored.groupBy(group).agg(F.bool_or(bad_row).alias("use_backup"))
+    flags = scored.groupBy(group).agg(F.bool_or(unusable(F.col(primary))).alias("use_backup"))
     return scored.join(flags, group, "left").withColumn(
         "y_pred", F.when(F.col("use_backup"), F.col(backup)).otherwise(F.col(primary))
     )
@@ -227,20 +249,17 @@ def price_recommendation(
     stats = price_stats(features)
     bounds = price_bounds(stats, unitprice_min, unitprice_max)
     model = demand_plane_by_product(features)
-    # Product-level joins first (one row per product on both sides, then at
-    # most ``sample_rows``); the grid is generated from that table and keeps
-    # its partitioning on stockcode, and every later step (failover flag,
-    # curve, optimum) holds at most ``sample_rows * num_price_bins`` rows per
-    # product, so windows over stockcode are bounded and the scored rows are
-    # never shuffled.
-    per = bounds.join(model, "stockcode", "left").join(product_sample(features, sample_rows), "stockcode")
+    # Product-level joins first; the failover flag is known there, from four
+    # corners, so the scored rows are only aggregated, by product and price. The
+    # grid is generated from the joined sample and keeps its partitioning on
+    # stockcode: no scored row is shuffled, and windows hold one curve (at most
+    # ``num_price_bins`` rows) of a product.
+    sample = product_sample(features, sample_rows)
+    per = corner_failover(bounds.join(model, "stockcode", "left"), sample, num_price_bins).join(sample, "stockcode")
     fit = [f"{g}{c}" for g in ("", "global_") for c in ("slope", "momentum_weight", "intercept")]
-    scored = _predictions(price_grid(per, num_price_bins, carry=["sample_no", "momentum", *fit]))
+    grid = price_grid(per, num_price_bins, carry=["sample_no", "momentum", "use_backup", *fit])
+    scored = _predictions(grid, "use_backup").withColumn("y_pred", F.when(F.col("use_backup"), F.col("y_backup")).otherwise(F.col("y_primary")))
     by_product = Window.partitionBy("stockcode")
-    bad_row = F.col("y_primary").isNull() | is_nonfinite(F.exp(F.col("y_primary"))) | (F.exp(F.col("y_primary")) == 0.0)
-    scored = scored.withColumn(
-        "y_pred", F.when(F.bool_or(bad_row).over(by_product), F.col("y_backup")).otherwise(F.col("y_primary"))
-    )
     curve = price_curve(scored)
     key = F.struct(F.col("sales"), (-F.col("unit_price")).alias("neg_price"))
     best = curve.withColumns(

@@ -70,13 +70,14 @@ def quality_gate_nonfinite(matrix: DataFrame, columns: Sequence[str]) -> DataFra
 
 
 def nonfinite_positions(matrix: DataFrame, columns: Sequence[str], row_col: str = "row_id", n: int = 5) -> DataFrame:
-    """The first ``n`` (row, column) positions holding NaN/Inf (top-n by
-    position: bounded by ``n`` per task)."""
-    long = matrix.select(
-        row_col,
-        F.explode(F.array(*[F.struct(F.lit(i).alias("col_pos"), F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])).alias("s"),
-    ).select(row_col, "s.*")
-    return long.where(is_nonfinite("v")).orderBy(row_col, "col_pos").limit(n).drop("v")
+    """The first ``n`` cells of the matrix holding NaN/Inf: (row, col_pos,
+    column_name) in the order of rows, then columns. Only rows with such a cell
+    leave the scan, and each task keeps its first ``n`` of them."""
+    cells = F.array(*[F.when(is_nonfinite(F.col(c).cast("double")), F.struct(F.lit(i).alias("col_pos"), F.lit(c).alias("column_name"))) for i, c in enumerate(columns)])
+    bad = matrix.select(row_col, F.filter(cells, lambda x: x.isNotNull()).alias("_bad")).where(F.size("_bad") > 0)
+    # a row's first cell decides its place: n rows hold the first n cells
+    first = bad.orderBy(row_col).limit(n)
+    return first.select(row_col, F.explode("_bad").alias("s")).select(row_col, "s.*").orderBy(row_col, "col_pos").limit(n)
 
 
 def regression_metrics(pred: DataFrame, y: str = "y_true", p: str = "y_pred", group: Sequence[str] = ()) -> DataFrame:

@@ -14,10 +14,12 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tillsense.functions.exprs import is_nonfinite
+from tillsense.operators import attributions as AT
 from tillsense.operators import boosting as BO
 from tillsense.operators import encoding as EN
 from tillsense.operators import grams as GR
 from tillsense.operators import models as MD
+from tillsense.operators import quality as QU
 from tillsense.plans.catalog import register, round_doubles
 from tillsense.plans.q_quality import CAT_COLS, NUM_COLS, SPLIT_G_SQL, split_global
 from tillsense.plans.sql import FEATURES, q6, with_ctes
@@ -274,13 +276,47 @@ def q_batch_inference(spark, sf_dir):
     return _truth(_best_predictions(spark, sf_dir, _parts(spark, sf_dir)[4])), {}
 
 
+def _gram_model(spark, sf_dir):
+    """An elastic net of the train rows, stored and loaded again."""
+
+    def make():
+        _, cols, train, _, _ = _parts(spark, sf_dir)
+        return GR.save_gram_model(GR.fit_gram_model(train, cols, "quantity", NET), spark, table_path(train, "gram_model"))
+
+    return GR.load_gram_model(spark, _kept(spark, sf_dir, "gram_model", make))
+
+
 @register_scored("warm_refresh", _TEST_SQL.replace("true AS beats_mean", "true AS beats_mean, true AS equals_full_refit"))
 def q_warm_refresh(spark, sf_dir):
     """A stored model of the train rows is refreshed by the validation rows alone."""
-    mat, cols, train, val, test = _parts(spark, sf_dir)
-    first = GR.fit_gram_model(train, cols, "quantity", NET)
-    path = GR.save_gram_model(first, spark, table_path(train, "gram_model"))
-    model = GR.refreshed(GR.load_gram_model(spark, path), val)
+    mat, cols, _, val, test = _parts(spark, sf_dir)
+    model = GR.refreshed(_gram_model(spark, sf_dir), val)
     whole = GR.fit_gram_model(mat.where(F.col("split").isin("train", "val")), cols, "quantity", NET)
     same = bool(np.allclose(model.fit.weights, whole.fit.weights, atol=1e-4) and model.n_rows == whole.n_rows)
     return _truth(GR.predict_gram_model(model, test)), {"equals_full_refit": same}
+
+
+# ================================================================ attributions
+def _attributed(spark, sf_dir):
+    """Attributions of the stored model's predictions of the test rows."""
+    test = _parts(spark, sf_dir)[4]
+    model = _gram_model(spark, sf_dir)
+    return AT.model_attribution(model, GR.predict_gram_model(model, test), ["row_id", "y_pred"])
+
+
+@register("model_attribution")
+def q_model_attribution(spark, sf_dir):
+    return _attributed(spark, sf_dir)
+
+
+@register("model_attribution_check", with_ctes(FEATURES + SPLIT_G_SQL, "SELECT row_id, true AS is_additive FROM split_g WHERE split = 'test'"))
+def q_model_attribution_check(spark, sf_dir):
+    """A row's attributions sum to its prediction minus the mean prediction."""
+    wide = _attributed(spark, sf_dir)
+    total = sum((F.col(c) for c in wide.columns if c.startswith("shap_")), F.lit(0.0))
+    return wide.select("row_id", (F.abs(total - (F.col("y_pred") - F.col("baseline"))) < 1e-6).alias("is_additive"))
+
+
+@register("model_rank_features")
+def q_model_rank_features(spark, sf_dir):
+    return QU.rank_features(QU.mean_abs_attribution(AT.long_form(_attributed(spark, sf_dir), ["row_id", "y_pred"])))

@@ -13,7 +13,7 @@ from tillsense.plans.catalog import register, round_doubles
 from tillsense.plans.q_core import OK, stored_features
 from tillsense.plans.sql import FEATURES, RETAIL, TOTAL_ORDER_SQL, q6, with_ctes
 from tillsense.sources.retail import ORDER_KEYS, retail_transactions
-from tillsense.sources.tables import cache_key, materialize, session_cache
+from tillsense.sources.tables import cache_key, materialize, session_cache, table_path
 
 TEST_FRACTION = 0.1  # global split: 10 % test, then 10 % of the rest for validation
 DRIFT_CUTOFF = 899251200.0  # 1998-07-01 00:00:00 UTC: reference rows before, current rows after
@@ -121,6 +121,23 @@ def q_ordered_split_global(spark, sf_dir):
     return split_global(spark, sf_dir).select(F.col("row_id").cast("bigint"), "split", *ORDER_KEYS)
 
 
+_ROWS = SP.GLOBAL_SPLIT_ROWS
+
+
+@register(
+    "ordered_split_rows",
+    with_ctes(
+        FEATURES + f",\nnumbered AS (SELECT *, row_number() OVER (ORDER BY {TOTAL_ORDER_SQL}) AS row_id, count(*) OVER () AS n FROM features)",
+        f"SELECT row_id, CASE WHEN row_id > n - {_ROWS} THEN 'test' WHEN row_id > n - 2 * {_ROWS} THEN 'val' ELSE 'train' END AS split, {OK} FROM numbered",
+    ),
+)
+def q_ordered_split_rows(spark, sf_dir):
+    """The global split in its row-count form: 50,000 rows each for test and validation."""
+    f = stored_features(spark, sf_dir)
+    s = SP.ordered_split_global(f, SP.total_order(f), SP.GLOBAL_SPLIT_ROWS, SP.GLOBAL_SPLIT_ROWS)
+    return s.select(F.col("row_id").cast("bigint"), "split", *ORDER_KEYS)
+
+
 @register("ordered_split_by_product", with_ctes(FEATURES + SPLIT_P_SQL, f"SELECT stockcode, pos, split, {OK} FROM split_p"))
 def q_ordered_split_by_product(spark, sf_dir):
     return split_product(spark, sf_dir).select("stockcode", F.col("pos").cast("bigint"), "split", *ORDER_KEYS)
@@ -203,6 +220,23 @@ def q_binary_encode(spark, sf_dir):
     )
 
 
+@register(
+    "extended_dictionary",
+    with_ctes(
+        FEATURES + SPLIT_G_SQL + ",\nfirsts AS (SELECT column_name, category, min(row_id) AS first_pos, min(CASE WHEN split = 'train' THEN 0 ELSE 1 END) AS late FROM (UNPIVOT (SELECT row_id, split, "
+        + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in CAT_COLS)
+        + f" FROM split_g) ON {', '.join(CAT_COLS)} INTO NAME column_name VALUE category) GROUP BY column_name, category)",
+        "SELECT column_name, category, row_number() OVER (PARTITION BY column_name ORDER BY late, first_pos) AS ordinal FROM firsts",
+    ),
+)
+def q_extended_dictionary(spark, sf_dir):
+    """The dictionary of the train rows, extended by the later ones: old ordinals stay."""
+    s = split_global(spark, sf_dir).withColumn("row_id", F.col("row_id").cast("bigint"))
+    path = table_path(s, "dictionary")
+    EN.extend_dictionary(s.where(F.col("split") == "train"), CAT_COLS, path, "train")
+    return EN.extend_dictionary(s.where(F.col("split") != "train"), CAT_COLS, path, "later")
+
+
 def _bits_sql(c: str) -> str:
     return (
         f"CASE WHEN o_{c}.ordinal IS NULL THEN repeat('0', (SELECT n_digits FROM digits WHERE column_name = '{c}')) "
@@ -281,6 +315,29 @@ def q_quality_gate_nonfinite(spark, sf_dir):
     return QU.quality_gate_nonfinite(mat, [f"num__{c}" for c in NUM_COLS])
 
 
+# every numeric column and one digit of a category are made non-finite in some rows
+_POISON = {f"num__{c}": 997 + i for i, c in enumerate(NUM_COLS)} | {"cat__is_registered_0": 500}
+
+
+@register(
+    "nonfinite_positions",
+    with_ctes(
+        FEATURES + SPLIT_G_SQL,
+        "SELECT row_id, column_name FROM (" + " UNION ALL ".join(f"SELECT row_id, '{c}' AS column_name, {i} AS place FROM split_g WHERE row_id % {m} = 0" for i, (c, m) in enumerate(_POISON.items()))
+        + ") ORDER BY row_id, place LIMIT 5",
+    ),
+)
+def q_nonfinite_positions(spark, sf_dir):
+    """The first five non-finite cells of the whole encoded matrix, in the order of
+    its rows and columns, after some cells were made NaN or infinite."""
+    s, m = _fitted(spark, sf_dir)
+    mat = EN.transform(s, m, keep=["row_id"])
+    hit = {c: F.col("row_id") % k == 0 for c, k in _POISON.items()}
+    mat = mat.withColumns({c: F.when(h, F.lit(float("nan") if i % 2 else float("-inf"))).otherwise(F.col(c)) for i, (c, h) in enumerate(hit.items())})
+    # the matrix is a stored table, as in a model's input
+    return QU.nonfinite_positions(materialize(mat, "poisoned_matrix"), m.output_columns()).select("row_id", "column_name")
+
+
 @register(
     "missing_profile",
     with_ctes(RETAIL, _missing_sql(["invoiceno", "stockcode", "quantity", "invoicedate", "unitprice", "customerid", "country"], "retail", {"quantity", "unitprice"})),

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsense.functions.exprs import nan_to_null
+from tillsense.sources.tables import materialize
 
 # Date texts of the named data set, tried in order after ISO timestamps.
 DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy-MM-dd H:mm")
 
+# Texts that stand for a missing field.
+MISSING_TEXTS = ("", "nan", "n/a", "na", "none")
+
 # Lineage columns of the retail view. They give every row a total order
 # (the reference relies on file row order, which Spark does not keep).
 ORDER_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -58,7 +62,11 @@ def scan_transactions(spark: SparkSession, path: str, schema: T.StructType | Non
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    df = normalize_columns(raw)
+    return typed_transactions(normalize_columns(raw))
+
+
+def typed_transactions(df: DataFrame) -> DataFrame:
+    """Text columns of transactions as numbers, ids and times."""
     out = df
     if "quantity" in df.columns:
         out = out.withColumn("quantity", nan_to_null(F.col("quantity").try_cast("double")))
@@ -79,6 +87,32 @@ def scan_transactions(spark: SparkSession, path: str, schema: T.StructType | Non
     return out
 
 
+CORRUPT = "_corrupt_record"
+#: Texts of the fields that must be readable, and the reason when one is not.
+CHECKED = {"quantity": "bad_quantity", "unitprice": "bad_unitprice", "invoicedate": "bad_date"}
+
+
+def scan_transactions_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """A1 with a quarantine: the typed rows of a header CSV, and what could not be
+    read: (reason, line) of broken lines, whose rows are left out, and of fields
+    that are there but unreadable, whose rows stay with a NULL.
+
+    The lines are parsed once, under a schema with a corrupt-record column, and
+    stored: a scan that reads some columns only would not notice broken lines."""
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    stored = materialize(parsed, "csv_lines")
+    whole = stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    texts = {f"_{c}": F.col(c) for c in CHECKED}
+    typed = typed_transactions(whole.withColumns(texts))
+    missing = lambda c: F.col(c).isNull() | F.lower(F.trim(c)).isin(*MISSING_TEXTS)
+    reasons = F.filter(F.array(*[F.when(F.col(c).isNull() & ~missing(f"_{c}"), F.lit(why)) for c, why in CHECKED.items()]), lambda r: r.isNotNull())
+    line = F.concat_ws(",", *[F.col(f"_{c}") if c in CHECKED else F.col(c) for c in RAW_SCHEMA.names])
+    unread = typed.select(F.explode(reasons).alias("reason"), line.alias("line"))
+    broken = stored.where(F.col(CORRUPT).isNotNull()).select(F.lit("broken_line").alias("reason"), F.col(CORRUPT).alias("line"))
+    return typed.drop(*texts), broken.unionByName(unread)
+
+
 def retail_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail view T1 over the driver tables (FIXTURES.md §3).
 
