@@ -198,4 +198,5 @@ def test_corner_failover_is_the_failover_of_all_scored_rows(spark):
         rows = PR.price_grid(per.join(sample, "stockcode"), bins, carry=["sample_no", "momentum", *fit])
         scored = PR.score_failover(PR._predictions(rows))
         assert flags == {r.stockcode: r.use_backup for r in scored.select("stockcode", "use_backup").distinct().collect()}
-        assert not flags["ok"] and flags["none"] and flags["gap"] and flags["under"]
+        assert not flags["ok"] and flags["none"] and flags["gap"] and flags["late"]
+        assert flags["under"] == flags["over"] == (bins > 1)  # the lowest price alone is harmless
