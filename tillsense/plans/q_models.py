@@ -111,8 +111,6 @@ def q_demand_model_elastic_net(spark, sf_dir):
 
 
 _TREES = BO.TreeParams(num_leaves=31, learning_rate=0.05, subsample=0.8, colsample=0.8, n_estimators=TREE_ROUNDS)
-_IS_VAL = F.when(F.col("split") == "val", F.lit(1)).otherwise(F.lit(0))
-
 
 def _tree_nodes(spark, rows, model):
     """The model as a stored table of nodes, as a prediction reads it."""
@@ -122,7 +120,8 @@ def _tree_nodes(spark, rows, model):
 def _early_stopped(spark, mat, cols, params):
     """Trees trained on the train rows, stopped by the error on the validation rows."""
     tv = mat.where(F.col("split").isin("train", "val"))
-    return BO.boost(BO.matrix(tv, cols, "quantity", "row_id", _IS_VAL), [(params, 1)])[0]
+    is_val = F.when(F.col("split") == "val", F.lit(1)).otherwise(F.lit(0))
+    return BO.boost(BO.matrix(tv, cols, "quantity", "row_id", is_val), [(params, 1)])[0]
 
 
 @register_scored("demand_model_boosted_trees")
