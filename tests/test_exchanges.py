@@ -42,3 +42,13 @@ def test_scored_rows_are_not_exchanged(spark):
             if depth(line) < at:
                 at = depth(line)
                 assert "Exchange" not in line
+
+
+def test_bootstrap_adds_up_the_stored_rows(spark, tmp_path, monkeypatch):
+    read, add = [], RF.ST.contribution
+    monkeypatch.setattr(RF.ST, "contribution", lambda rows: read.append(rows.inputFiles()) or add(rows))
+    raw = raw_frame(spark, ROWS)
+    RF.bootstrap(spark, raw, f"{tmp_path}/h", f"{tmp_path}/f", buckets=2)
+    assert read and read[0] and all("/h/" in f for f in read[0])
+    got = spark.read.parquet(f"{tmp_path}/f").select(*FE.FEATURE_COLUMNS).collect()
+    assert sorted(map(str, got)) == sorted(map(str, FE.transactions_features(raw).select(*FE.FEATURE_COLUMNS).collect()))
