@@ -16,6 +16,18 @@ ROWS = [
 ]
 
 
+def test_feature_rows_are_stored_without_derived_columns(spark, monkeypatch):
+    stored, write = [], FE.materialize
+    monkeypatch.setattr(FE, "materialize", lambda df, name, *a: stored.append(df.columns) or write(df, name, *a))
+    raw = raw_frame(spark, ROWS)
+    got = {r.invoiceno: r for r in FE.transactions_features(raw).collect()}
+    assert stored == [raw.columns]
+    # rows without a code take the values of the product 'unknown', but none of its months
+    assert (got["4"].stockcode, got["4"].country, got["4"].unitprice) == ("unknown", "y", 7.0)
+    assert got["4"].product_max_price_all_time is None and got["5"].product_max_price_all_time == 9.0
+    assert (got["2"].country, got["2"].unitprice, got["2"].product_avg_quantity_last_month) == ("x", 3.0, 2.0)
+
+
 def test_scored_rows_are_not_exchanged(spark):
     grid = spark.createDataFrame([("A", 0, 1.0), ("A", 1, 2.0), ("B", 0, 3.0)], "stockcode string, bin int, unit_price double")
     fit = [f"{g}{c}" for g in ("", "global_") for c in ("slope", "momentum_weight", "intercept")]
