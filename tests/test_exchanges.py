@@ -28,6 +28,29 @@ def test_feature_rows_are_stored_without_derived_columns(spark, monkeypatch):
     assert (got["2"].country, got["2"].unitprice, got["2"].product_avg_quantity_last_month) == ("x", 3.0, 2.0)
 
 
+def test_feature_rows_take_one_exchange_and_no_join(spark):
+    plan = FE.windowed_rows(raw_frame(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("Initial Plan")[0]
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_hot_products_have_the_same_features(spark):
+    more = [
+        ("6", "A", 5.0, "2020-02-07", 7.0, "c1", "y"),
+        ("7", "A", None, "2020-03-01", 11.0, "c1", "y"),
+        ("8", "A", -1.0, None, 2.0, "c1", None),
+        ("9", "A", 2.0, "2020-04-01", 4.0, "c1", None),
+        ("10", "D", 2.0, "2020-04-01", 4.0, "c1", "z"),
+        ("11", "m", 2.0, "2020-04-01", None, "c1", None),
+        ("12", "M", 3.0, "2020-05-01", float("nan"), "c1", "z"),
+    ]
+    raw = raw_frame(spark, ROWS + more)
+    table = lambda hot: sorted(map(str, FE.transactions_features(raw, hot_rows=hot).collect()))
+    assert FE.hot_products(raw, 4) == ["A"] and FE.hot_products(raw, 100) == []
+    assert sorted(FE.hot_products(raw, 2)) == ["A", "M", "unknown"]
+    assert table(100) == table(4) == table(2) == table(1)
+
+
 def test_scored_rows_are_not_exchanged(spark):
     grid = spark.createDataFrame([("A", 0, 1.0), ("A", 1, 2.0), ("B", 0, 3.0)], "stockcode string, bin int, unit_price double")
     fit = [f"{g}{c}" for g in ("", "global_") for c in ("slope", "momentum_weight", "intercept")]
