@@ -79,6 +79,21 @@ def test_scored_rows_are_not_exchanged(spark):
                 assert "Exchange" not in line
 
 
+def test_scored_rows_are_not_sorted_for_their_flags(spark):
+    rows = [("A", 800.0, 1.0), ("A", 1.0, 2.0), ("B", 1.0, 2.0), (None, 1.0, 2.0)]
+    scored = spark.createDataFrame(rows, "stockcode string, y_primary double, y_backup double").repartition(3, "stockcode")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = PR.score_failover(scored)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        got = sorted(((r.stockcode or "", r.use_backup, r.y_pred) for r in out.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("SortAggregate", "")
+    assert got == [("", None, 1.0), ("A", True, 1.0), ("A", True, 2.0), ("B", False, 1.0)]
+
+
 def test_bootstrap_adds_up_the_stored_rows(spark, tmp_path, monkeypatch):
     read, add = [], RF.ST.contribution
     monkeypatch.setattr(RF.ST, "contribution", lambda rows: read.append(rows.inputFiles()) or add(rows))
