@@ -211,3 +211,15 @@ def test_unreadable_fields_and_broken_lines_are_counted(spark, tmp_path):
     assert sorted((r["reason"], r["line"][:1]) for r in bad.collect()) == [
         ("bad_date", "4"), ("bad_quantity", "2"), ("bad_unitprice", "4"), ("broken_line", "3"), ("broken_line", "5"),
     ]
+
+
+def test_attribution_reports_are_compressed_and_whole(spark, tmp_path):
+    rows = [(f"{i}", 0.5 * i if i % 3 else None, float(i)) for i in range(3000)]
+    long = spark.createDataFrame(rows, "stockcode string, shap_value double, feature_value double").withColumn("feature_name", F.lit("unitprice"))
+    summary = long.groupBy("feature_name").agg(F.avg(F.abs("shap_value")).alias("mean_abs_shap"))
+    paths = SK.write_attribution_reports(long, long, summary, str(tmp_path))
+    back = spark.read.schema(long.schema).json(paths["long"])
+    assert sorted(back.collect(), key=str) == sorted(long.collect(), key=str)
+    assert spark.read.json(paths["summary"]).collect()[0]["mean_abs_shap"] == summary.collect()[0]["mean_abs_shap"]
+    stored = sum(f.stat().st_size for f in (tmp_path / "long").glob("part-*"))
+    assert 0 < stored < 40 * len(rows)  # 75 bytes a record as text
