@@ -105,3 +105,15 @@ def test_range_numbered_spreads_a_hot_group_and_moves_keys_only(spark, tmp_path)
     plan = range_numbered(df, ["g"], ["i"], cells=16).select("g", "i", "rn")._jdf.queryExecution().executedPlan().toString()
     assert "pad" not in plan and "rangepartitioning" not in plan
     assert "split(" not in plan  # the bounds are constants, not parsed for each row
+
+
+def test_the_range_of_a_row_is_searched_once_and_ends_at_the_first_field_that_differs(spark, tmp_path):
+    rows = [(None if i % 9 == 0 else f"g{i % 5}", None if i % 7 == 0 else float(i % 31), i) for i in range(3000)]
+    spark.createDataFrame(rows, "g string, v double, i long").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = range_numbered(df, [], ["g", "v", "i"], cells=16).select("i", "rn")._jdf.queryExecution().optimizedPlan().toString()
+    # once where the rows are counted, once where they are numbered: no filter repeats it
+    assert plan.count("aggregate([") == 2 and "<= struct(" not in plan
+    cell = range_cell(df, ["g", "v", "i"], 16)
+    got = [r.c for r in df.orderBy(F.col("g").asc_nulls_first(), F.col("v").asc_nulls_first(), "i").select(cell.alias("c")).collect()]
+    assert got == sorted(got) and set(got) == set(range(16))
