@@ -117,3 +117,25 @@ def test_the_range_of_a_row_is_searched_once_and_ends_at_the_first_field_that_di
     cell = range_cell(df, ["g", "v", "i"], 16)
     got = [r.c for r in df.orderBy(F.col("g").asc_nulls_first(), F.col("v").asc_nulls_first(), "i").select(cell.alias("c")).collect()]
     assert got == sorted(got) and set(got) == set(range(16))
+
+
+def test_numbered_rows_take_one_exchange(spark, tmp_path):
+    rows = [("hot" if i % 3 else f"g{i % 40}", i) for i in range(3000)] + [(None, 5), (None, 6)]
+    spark.createDataFrame(rows, "g string, i long").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        out = range_numbered(df, ["g"], ["i"], "rn", "n", 16)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        got = {(r.g, r.i): (r.rn, r.n) for r in out.collect()}
+    finally:
+        for n, v in old.items():
+            spark.conf.set(n, v)
+    assert "SortMergeJoin" not in plan
+    groups = {}
+    for g, i in rows:
+        groups.setdefault(g, []).append(i)
+    assert got == {(g, i): (k + 1, len(v)) for g, v in groups.items() for k, i in enumerate(sorted(v))}
