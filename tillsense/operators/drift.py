@@ -14,11 +14,12 @@ partitioned, see ``ranking``), joins on keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsense.operators.ranking import running_total
+from tillsense.operators.ranking import HOT_ROWS, hot_groups, running_total, spread_by
 
 # Fixed values of the drift tests.
 KS_ALPHA_COEF = 1.3581  # sqrt(-ln(0.05/2)/2): asymptotic two-sample KS critical constant at alpha=0.05
@@ -38,26 +39,52 @@ def _long(df: DataFrame, group: Sequence[str], cols: Sequence[str], cast: str) -
     return df.select(*group, F.explode(pairs).alias("_p")).select(*group, "_p.column_name", "_p.value")
 
 
-def _numeric_counts(reference: DataFrame, current: DataFrame, group: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    def side(df, ref):
-        long = _long(df, group, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-        return long.withColumns({"c_ref": F.lit(1 if ref else 0).cast("bigint"), "c_cur": F.lit(0 if ref else 1).cast("bigint")})
+def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of both tables with what they count for either."""
+    sides = [df.select(*columns, F.lit(ref).cast("bigint").alias("c_ref"), F.lit(1 - ref).cast("bigint").alias("c_cur")) for df, ref in ((reference, 1), (current, 0))]
+    return sides[0].unionByName(sides[1])
+
 
-    both = side(reference, True).unionByName(side(current, False))
-    return both.groupBy(*group, "column_name", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+def _numeric_counts(rows: DataFrame, group: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    long = _long(rows, [*group, "c_ref", "c_cur"], cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return long.groupBy(*group, "column_name", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur")).withColumn("one", F.lit(1).cast("bigint"))
 
 
-def _cdf(reference: DataFrame, current: DataFrame, group: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    counts = _numeric_counts(reference, current, group, cols).withColumn("one", F.lit(1).cast("bigint"))
+_SUMS = {"c_ref": ("cum_ref", "n_ref"), "c_cur": ("cum_cur", "n_cur"), "one": ("rank", "n_values")}
+
+
+def _spread_totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Running and whole sums of groups that stay spread over the tasks."""
     return running_total(
-        counts,
-        [*group, "column_name"],
-        [F.col("value")],
-        out=["cum_ref", "cum_cur", "rank"],
-        weight=["c_ref", "c_cur", "one"],
-        total_out=["n_ref", "n_cur", "n_values"],
-        next_of="value",
-    ).withColumns(
+        counts, keys, [F.col("value")], out=[c for c, _ in _SUMS.values()], weight=list(_SUMS), total_out=[n for _, n in _SUMS.values()], next_of="value"
+    ).drop(*_SUMS)
+
+
+def _windowed_totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same by windows, where a group's rows are in one task."""
+    whole = Window.partitionBy(*keys)
+    ordered = whole.orderBy("value")
+    before = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {name: F.sum(w).over(over) for w, names in _SUMS.items() for name, over in zip(names, (before, whole), strict=True)}
+    return counts.withColumns({**sums, "next_value": F.lead("value", 1).over(ordered)}).drop(*_SUMS)
+
+
+def _cdf(reference: DataFrame, current: DataFrame, group: Sequence[str], cols: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Distinct values of every (group, column) with the distribution functions of
+    both sides and the next value. The rows of a group that is not hot cross one
+    exchange, before they are taken apart by column; those of hot groups are
+    counted where they are, and their values range-partitioned."""
+    group = list(group)
+    keys = [*group, "column_name"]
+    rows = _sides(reference, current, dict.fromkeys([*group, *cols]))
+    hot, n = hot_groups(rows, group, hot_rows) if group else (F.lit(True), 0)
+    parts = []
+    if group:
+        cold = spread_by(rows if hot is None else rows.where(~hot), group, n * len(cols))
+        parts.append(_windowed_totals(_numeric_counts(cold, group, cols), keys))
+    if hot is not None:
+        parts.append(_spread_totals(_numeric_counts(rows.where(hot), group, cols), keys).select(*(parts[0].columns if parts else ["*"])))
+    return reduce(DataFrame.unionByName, parts).withColumns(
         {
             "F_ref": F.try_divide(F.col("cum_ref"), F.col("n_ref")),
             "F_cur": F.try_divide(F.col("cum_cur"), F.col("n_cur")),
